@@ -12,6 +12,7 @@ import json
 from collections.abc import Iterable
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,9 @@ from topictables.plans.schema import avro_type, load_avro, nullable_branch
 
 MODES = ("FAILFAST", "PERMISSIVE")
 
+# The codec travels with the query, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(avro_arrow)
+
 _loaded: dict[int, bool] = {}
 
 
@@ -95,7 +99,9 @@ def from_avro_message(
     def decode(messages: pa.Array) -> pa.Array:
         return avro_arrow.decode(node, messages, permissive)
 
-    return decode(value)
+    # Catalyst moves filters below a deterministic function and would decode twice, once for the
+    # filter and once for the rows it leaves.
+    return decode.asNondeterministic()(value)
 
 
 def to_avro_message(row: Column, schema: str | dict) -> Column:

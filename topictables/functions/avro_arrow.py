@@ -406,11 +406,14 @@ def varints(values: np.ndarray) -> pa.Array:
     """Zig-zag varints, one binary value per number."""
     values = values.astype(np.int64)
     zigzag = ((values << 1) ^ (values >> 63)).view(np.uint64)
-    septets = zigzag[:, None] >> (np.uint64(7) * np.arange(10, dtype=np.uint64))
+    width = max(1, -(-int(zigzag.max(initial=0)).bit_length() // 7))
+    if width == 1:
+        return _binary(np.ones(len(values), np.int64), zigzag.astype(np.uint8))
+    septets = zigzag[:, None] >> (np.uint64(7) * np.arange(width, dtype=np.uint64))
     used = septets > 0
     used[:, 0] = True
     raw = (septets & np.uint64(0x7F)).astype(np.uint8)
-    raw[:, :-1] |= np.where(used[:, 1:], 0x80, 0).astype(np.uint8)
+    raw[:, :-1] |= used[:, 1:].astype(np.uint8) << 7
     return _binary(used.sum(axis=1), raw[used])
 
 

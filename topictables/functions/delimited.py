@@ -82,37 +82,44 @@ def string_map(
     An entry without a value gets "", parts after the second are dropped. Entries for which
     `bad_map_entry` holds have no key; check that first.
     """
-    key_pattern = split_pattern(key_delimiter)
-
-    def pair(entry, position):
-        parts = F.split(entry, key_pattern)
-        return F.struct(
-            F.get(parts, F.lit(0)).alias("key"),
-            position.alias("position"),
-            F.coalesce(F.get(parts, F.lit(1)), F.lit("")).alias("value"),
-        )
-
-    def last_of_each_key(pairs):
-        # Sorted by key and position, an entry is the last of its key if the next key differs.
-        following = F.slice(pairs, F.lit(2), F.size(pairs))
-        marked = F.zip_with(
-            pairs,
-            following,
-            lambda this, after: F.when(
-                ~F.coalesce(this["key"] == after["key"], F.lit(False)),
-                F.struct(this["key"].alias("key"), this["value"].alias("value")),
-            ),
-        )
-        return F.map_from_entries(F.filter(marked, lambda e: e.isNotNull()))
-
-    def to_map(pairs):
-        keys = pairs["key"]
+
+    def to_map(entries):
+        keys = F.transform(entries, _key)
         return F.when(
-            F.size(F.array_distinct(keys)) == F.size(keys),
-            F.map_from_arrays(keys, pairs["value"]),
-        ).otherwise(_let(F.sort_array(pairs), last_of_each_key))
+            F.size(F.array_distinct(keys)) == F.size(entries),
+            F.map_from_arrays(keys, F.transform(entries, _value)),
+        ).otherwise(_let(F.sort_array(F.transform(entries, _placed)), _last_of_each_key))
+
+    split_key = split_pattern(key_delimiter)
+    entries = split_dropping_trailing(field, entry_delimiter)
+    return _let(F.transform(entries, lambda entry: F.split(entry, split_key)), to_map)
+
+
+def _key(entry: Column) -> Column:
+    return F.get(entry, F.lit(0))
+
+
+def _value(entry: Column) -> Column:
+    return F.coalesce(F.get(entry, F.lit(1)), F.lit(""))
 
-    return _let(F.transform(split_dropping_trailing(field, entry_delimiter), pair), to_map)
+
+def _placed(entry: Column, position: Column) -> Column:
+    return F.struct(
+        _key(entry).alias("key"), position.alias("position"), _value(entry).alias("value")
+    )
+
+
+def _last_of_each_key(entries: Column) -> Column:
+    """Entries sorted by key and position: one is the last of its key if the next key differs."""
+    marked = F.zip_with(
+        entries,
+        F.slice(entries, F.lit(2), F.size(entries)),
+        lambda this, after: F.when(
+            ~F.coalesce(this["key"] == after["key"], F.lit(False)),
+            F.struct(this["key"], this["value"]),
+        ),
+    )
+    return F.map_from_entries(F.filter(marked, lambda entry: entry.isNotNull()))
 
 
 def bad_map_entry(
@@ -193,10 +200,7 @@ def convert(
         return guarded(TIMESTAMP_TEXT, _timestamp(text).cast(kind))
     if isinstance(kind, T.MapType) and kind.keyType == kind.valueType == T.StringType():
         valid = ~F.coalesce(bad_map_entry(text, entry_delimiter, key_delimiter), F.lit(False))
-        value = F.when(
-            text.isNotNull() & valid, string_map(text, entry_delimiter, key_delimiter)
-        )
-        return value, valid
+        return F.when(valid, string_map(text, entry_delimiter, key_delimiter)), valid
     raise TypeError(f"column {field.name}: delimited text has no {kind.simpleString()} fields")
 
 

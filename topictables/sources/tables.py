@@ -84,9 +84,10 @@ def delimited_table(
 ) -> DataFrame:
     """Messages of one delimited line each, fields taken by position."""
     line = text.message_text(_value(mode))
-    rows = messages.select(
-        *keep, text.split_dropping_trailing(line, field_delimiter).alias("_fields")
-    )
+    fields = text.split_dropping_trailing(line, field_delimiter)
+    # Exploding one array keeps filters on decoded columns above the split, which would otherwise
+    # be repeated for every use of a field; filters on envelope columns still pass below it.
+    rows = messages.select(*keep, F.explode(F.array(fields)).alias("_fields"))
     columns = text.delimited_columns(
         F.col("_fields"),
         table_schema(schema),
