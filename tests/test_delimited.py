@@ -29,33 +29,34 @@ def decode(spark, value, schema=PERSON, **options):
     return tuple(row)
 
 
-@pytest.mark.parametrize(
-    "message, expected",
-    [
-        ("1\ta\t32\teventTag:10004,eventLog:info", (1, "a", 32, {"eventTag": "10004", "eventLog": "info"})),
-        ("1\ta", (1, "a", None, None)),
-        ("1\ta\t\t", (1, "a", None, None)),
-        ("1\t\t32", (1, "", 32, None)),
-        ("\t\t\t", (None, None, None, None)),
-        ("\t", (None, None, None, None)),
-        ("1\ta\t32\tk:v\textra", (1, "a", 32, {"k": "v"})),
-        ("1\ta\t32\ta:b:c,d,e:", (1, "a", 32, {"a": "b", "d": "", "e": ""})),
-        ("1\ta\t32\ta:1,a:2", (1, "a", 32, {"a": "2"})),
-        ("1\ta\t32\tb:0,a:1,c:5,a:2,b:,a:3", (1, "a", 32, {"a": "3", "b": "", "c": "5"})),
-        ("1\ta\t32\t,", (1, "a", 32, {})),
-        ("1\ta\t32\t,,a:1,,b:2,,", (1, "a", 32, {"": "", "a": "1", "b": "2"})),
-        ("1\ta\t32\t\tx", (1, "a", 32, {"": ""})),
-        ("1\ta\t32\t:v", (1, "a", 32, {"": "v"})),
-        ("1\ta\t32\ta::c", (1, "a", 32, {"a": ""})),
-        ("-1\ta\t+32", (-1, "a", 32, None)),
-        ("1\tä漢\n\t32", (1, "ä漢\n", 32, None)),
-        (b"1\ta\xff\t32", (1, "a�", 32, None)),
-    ],
-)
-def test_messages(spark, message, expected):
-    assert decode(spark, message) == expected
-    assert decode(spark, message, mode="PERMISSIVE") == expected
-    assert decode(spark, message, check_all=True) == expected
+MESSAGES = [
+    ("1\ta\t32\teventTag:10004,eventLog:info", (1, "a", 32, {"eventTag": "10004", "eventLog": "info"})),
+    ("1\ta", (1, "a", None, None)),
+    ("1\ta\t\t", (1, "a", None, None)),
+    ("1\t\t32", (1, "", 32, None)),
+    ("\t\t\t", (None, None, None, None)),
+    ("\t", (None, None, None, None)),
+    ("1\ta\t32\tk:v\textra", (1, "a", 32, {"k": "v"})),
+    ("1\ta\t32\ta:b:c,d,e:", (1, "a", 32, {"a": "b", "d": "", "e": ""})),
+    ("1\ta\t32\ta:1,a:2", (1, "a", 32, {"a": "2"})),
+    ("1\ta\t32\tb:0,a:1,c:5,a:2,b:,a:3", (1, "a", 32, {"a": "3", "b": "", "c": "5"})),
+    ("1\ta\t32\t,", (1, "a", 32, {})),
+    ("1\ta\t32\t,,a:1,,b:2,,", (1, "a", 32, {"": "", "a": "1", "b": "2"})),
+    ("1\ta\t32\t\tx", (1, "a", 32, {"": ""})),
+    ("1\ta\t32\t:v", (1, "a", 32, {"": "v"})),
+    ("1\ta\t32\ta::c", (1, "a", 32, {"a": ""})),
+    ("-1\ta\t+32", (-1, "a", 32, None)),
+    ("1\tä漢\n\t32", (1, "ä漢\n", 32, None)),
+    (b"1\ta\xff\t32", (1, "a�", 32, None)),
+]
+
+
+@pytest.mark.parametrize("options", [{}, {"mode": "PERMISSIVE"}, {"check_all": True}])
+def test_messages(spark, options):
+    texts = [message for message, _ in MESSAGES]
+    rows = delimited_table(messages(spark, *texts).coalesce(1), PERSON, **options).collect()
+    for (message, expected), row in zip(MESSAGES, rows, strict=True):
+        assert tuple(row) == expected, message
 
 
 @pytest.mark.parametrize(
@@ -65,7 +66,8 @@ def test_messages(spark, message, expected):
 def test_invalid_messages(spark, message):
     with pytest.raises(Exception, match="not a|null message"):
         decode(spark, message)
-    assert decode(spark, message, mode="PERMISSIVE") == (None,) * 4
+    row = decode(spark, message, mode="PERMISSIVE")
+    assert row == (None,) * 4
 
 
 def test_empty_message_is_one_empty_field(spark):

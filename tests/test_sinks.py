@@ -1,0 +1,275 @@
+"""Sinks, partition assignment, several outputs, catalog, time columns."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from checks.messages import PERSON, event_lines, table_stream
+from topictables import (
+    Catalog,
+    avro_table,
+    avro_topic,
+    check_sink_schema,
+    commit_offsets,
+    committed_offsets,
+    console,
+    delimited_table,
+    files,
+    fixed,
+    json_table,
+    json_topic,
+    map_value,
+    nth,
+    register_table,
+    routed,
+    start,
+    start_all,
+    start_at,
+    table_schema,
+    table_topic,
+    with_proctime,
+    with_rowtime,
+    write,
+)
+
+LINES = {"id": "LONG", "name": "STRING", "user": "LONG", "event": "map<string,string>"}
+
+
+@pytest.fixture(scope="module")
+def people(spark):
+    rows = [(1, "a", 29), (2, "b", 30), (3, "c", 31), (4, "d", None)]
+    return spark.createDataFrame(rows, "id bigint, name string, age int")
+
+
+def values(df):
+    return sorted(json.loads(bytes(r.value)).get("name") for r in df.collect())
+
+
+def test_json_messages_keep_nulls(people):
+    sent = json_topic("t", path="unused").rows(people.orderBy("id"))
+    assert sent.columns == ["topic", "value"]
+    assert bytes(sent.collect()[3].value) == b'{"id":4,"name":"d","age":null}'
+
+
+def test_columns_are_matched_by_position(people):
+    sink = avro_topic("t", PERSON, path="unused")
+    sent = sink.rows(people.filter("age > 0").select("id", F.col("name").alias("label"), "age"))
+    rows = avro_table(sent, PERSON).orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [(1, "a", 29), (2, "b", 30), (3, "c", 31)]
+
+
+def test_sink_schema_check(people):
+    schema = table_schema({"id": "LONG", "name": "STRING", "age": "INT"})
+    check_sink_schema(people.schema, schema)
+    for columns, problem in [(["id", "name"], "3 columns, the query 2"), (["id", "age", "age"], "name is string")]:
+        with pytest.raises(ValueError, match=problem):
+            check_sink_schema(people.select(*columns).schema, schema)
+    with pytest.raises(ValueError, match="columns"):
+        avro_topic("t", PERSON, path="unused").rows(people.select("id"))
+
+
+def test_null_in_a_required_column(people):
+    with pytest.raises(Exception, match="null in the required column age"):
+        avro_topic("t", PERSON, path="unused").rows(people).collect()
+
+
+def test_kafka_sink_options():
+    sink = json_topic("t", {"bootstrap.servers": "h:9092"})
+    assert (sink.format, sink.options) == ("kafka", {"kafka.bootstrap.servers": "h:9092"})
+    with pytest.raises(ValueError, match="either"):
+        json_topic("t")
+    with pytest.raises(ValueError, match="needs a name"):
+        json_topic("", path="x")
+
+
+def test_fixed_partitions(spark):
+    rows = spark.range(0, 1000, 1, 6)
+    sent = json_topic("t", path="unused", partitions=4).rows(rows)
+    writers = sent.groupBy(F.spark_partition_id().alias("writer")).agg(
+        F.countDistinct("partition").alias("n")
+    )
+    assert {r.n for r in writers.collect()} == {1}
+    assert {r.partition for r in sent.collect()} == {0, 1, 2, 3}
+    few = json_topic("t", path="unused", partitions=40).rows(rows)
+    assert {r.partition for r in few.collect()} == set(range(6))
+    with pytest.raises(ValueError):
+        fixed(0)
+
+
+def test_custom_partitions(spark):
+    rows = spark.range(100)
+
+    def by_id(partitions):
+        return F.pmod("id", F.lit(partitions)).cast("int")
+
+    for options in ({"partitioner": by_id, "partitions": 3}, {"partitioner": by_id(3)}):
+        sent = json_table(
+            json_topic("t", path="unused", **options).rows(rows), {"id": "LONG"}, keep=["partition"]
+        )
+        assert all(r.partition == r.id % 3 for r in sent.collect())
+    with pytest.raises(ValueError, match="number of partitions"):
+        json_topic("t", path="unused", partitioner=by_id)
+
+
+def test_routes(people):
+    one = {"name": "STRING"}
+    sinks = [json_topic(name, schema=one, path="unused") for name in ("above", "up_to", "all")]
+    age = F.col("age")
+    sent = routed(
+        people, [(age > 30, ["name"], sinks[0]), (age <= 30, ["name"], sinks[1]), (None, ["name"], sinks[2])]
+    )
+    by_topic = {name: values(sent.filter(F.col("topic") == name)) for name in ("above", "up_to", "all")}
+    assert by_topic == {"above": ["c"], "up_to": ["a", "b"], "all": ["a", "b", "c", "d"]}
+    with pytest.raises(ValueError, match="name is string"):
+        routed(people, [(None, ["id"], sinks[0])])
+    with pytest.raises(ValueError, match="only topic sinks"):
+        routed(people, [(None, ["id"], console())])
+
+
+def test_catalog(spark, people, tmp_path):
+    for name in ("topics", "elsewhere"):
+        catalog = Catalog(spark, name)
+        catalog.create_table("people", people)
+        catalog.create_table("people", spark.range(1), ignore_if_exists=True)
+        with pytest.raises(ValueError, match="exists"):
+            catalog.create_table("people", people)
+        assert catalog.tables() == ["people"]
+        assert catalog.table("people").count() == 4
+        query = f"SELECT p.name FROM {{{name}.people}} p JOIN {{{name}.people}} q ON p.age = q.age + 1"
+        assert sorted(r.name for r in catalog.sql(query).collect()) == ["b", "c"]
+        with pytest.raises(KeyError):
+            catalog.table("nobody")
+    # the session's global-temp database has the first catalog's name
+    Catalog(spark, "topics").create_table("adults", people.filter("age > 30"))
+    assert spark.sql("SELECT name FROM topics.adults").collect()[0].name == "c"
+
+    path = str(tmp_path / "out")
+    catalog.create_sink("out", files(path, {"label": "STRING"}))
+    catalog.insert_into("out", "SELECT name FROM {elsewhere.people} WHERE age > 30")
+    catalog.insert_into("out", "SELECT name FROM {elsewhere.people} WHERE age <= 30")
+    assert sorted(r.label for r in spark.read.parquet(path).collect()) == ["a", "b", "c"]
+    with pytest.raises(KeyError):
+        catalog.insert_into("nowhere", people)
+    with pytest.raises(ValueError, match="exists"):
+        catalog.create_sink("out", files(path))
+    catalog.drop_table("people")
+    catalog.drop_table("people", ignore_if_not_exists=True)
+    with pytest.raises(KeyError):
+        catalog.drop_table("people")
+    with pytest.raises(ValueError, match="database name"):
+        Catalog(spark, "a b")
+
+
+def test_streaming_sql_insert(spark, sf_dir, tmp_path):
+    lines = delimited_table(event_lines(table_stream(spark, sf_dir, "events")), LINES)
+    catalog = Catalog(spark, "topics")
+    catalog.create_table("events", lines)
+    catalog.create_sink("views", files(str(tmp_path / "views"), {"id": "LONG"}))
+    query = catalog.insert_into(
+        "views",
+        "SELECT id FROM topics.events WHERE event['eventType'] = 'view'",
+        str(tmp_path / "checkpoint"),
+        available_now=True,
+    )
+    query.awaitTermination()
+    expected = spark.read.parquet(f"{sf_dir}/events.parquet").filter("event_type = 'view'").count()
+    assert spark.read.parquet(str(tmp_path / "views")).count() == expected
+
+
+def test_several_outputs_and_group_offsets(spark, sf_dir, tmp_path):
+    """Outputs of one stream, offsets committed after each batch, a second run finds nothing new."""
+    messages = table_topic(event_lines(table_stream(spark, sf_dir, "events")), "event_lines")
+    envelope = ["topic", "partition", "offset"]
+    lines = delimited_table(messages, LINES, keep=envelope)
+    out, group = str(tmp_path / "out"), str(tmp_path / "group")
+    outputs = [
+        (lambda rows: rows.select("id"), json_topic("ids", path=f"{out}/ids")),
+        (lambda rows: rows.filter("name = 'view'").select("id"), files(f"{out}/views")),
+        (lambda rows: rows.select("id").limit(1), console(1)),
+    ]
+
+    def commit(batch, _):
+        commit_offsets(batch.select(*envelope), group, "readers")
+
+    for _ in range(2):
+        start_all(
+            lines, outputs, str(tmp_path / "checkpoint"), available_now=True, after_batch=commit
+        ).awaitTermination()
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    assert spark.read.parquet(f"{out}/ids").count() == events.count()
+    assert spark.read.parquet(f"{out}/views").count() == events.filter("event_type = 'view'").count()
+    offsets = committed_offsets(spark, group, "readers", "event_lines")
+    rest = table_topic(event_lines(events), "event_lines", start_at("group-offsets", offsets))
+    assert len(offsets) == 4 and rest.count() == 0
+    with pytest.raises(ValueError, match="at least one"):
+        start_all(lines, [], "unused")
+    with pytest.raises(ValueError, match="the sink has 2 columns"):
+        start_all(lines, [(None, files("x", {"a": "INT", "b": "INT"}))], "unused")
+
+
+def test_console(people, capfd):
+    write(people, console(2))
+    assert "only showing top 2 rows" in capfd.readouterr().out
+
+
+def test_stream_to_console(spark, sf_dir, tmp_path):
+    lines = delimited_table(event_lines(table_stream(spark, sf_dir, "events")), LINES)
+    query = start(
+        lines.select("id"), console(1), str(tmp_path / "c"), available_now=True, name="printed"
+    )
+    query.awaitTermination()
+    assert query.lastProgress["numInputRows"] == 1000
+
+
+def test_time_columns(spark, sf_dir):
+    messages = table_topic(event_lines(table_stream(spark, sf_dir, "events")), "event_lines")
+    lines = delimited_table(messages, {"id": "LONG"}, keep=["timestamp"])
+    timed = with_rowtime(with_proctime(lines, "read_at"), "sent", "timestamp", "1 hour")
+    assert timed.columns == ["timestamp", "id", "read_at", "sent"]
+    plan = timed._jdf.queryExecution().analyzed().toString()
+    assert "EventTimeWatermark" in plan and "current_timestamp()" in plan
+    with pytest.raises(ValueError, match="already has"):
+        with_proctime(lines, "id")
+    with pytest.raises(ValueError, match="needs a name"):
+        with_rowtime(lines, None)
+    with pytest.raises(ValueError, match="no column"):
+        with_rowtime(lines, "sent")
+    with pytest.raises(ValueError, match="is bigint|is long"):
+        with_rowtime(lines, "id")
+
+
+def test_watermark_drops_late_rows_in_windows(spark, tmp_path):
+    """Event time declared here is what a window downstream goes by."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "value binary, n int"
+    for n, moments in enumerate((["00:00:30", "00:10:00"], ["00:00:40", "00:20:00"], ["00:30:00"])):
+        rows = [(f"2024-01-01T{moment}Z".encode(), n) for moment in moments]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        timed = with_rowtime(
+            delimited_table(stream, {"at": "SQL_TIMESTAMP"}), "at", delay="1 minute"
+        )
+        counts = timed.groupBy(F.window("at", "1 minute")).count()
+        rows = counts.select(F.date_format("window.start", "HH:mm").alias("start"), "count")
+        start(rows, files(out), str(tmp_path / "c"), available_now=True).awaitTermination()
+    got = {r.start: r["count"] for r in spark.read.parquet(out).collect()}
+    assert got["00:00"] == 1 and got["00:10"] == 1
+
+
+def test_access(spark):
+    row = spark.sql(
+        "SELECT array(1, 2) AS a, cast(null AS array<int>) AS n, map('k', 5) AS m, map('', 1) AS e"
+    )
+    got = row.select(
+        nth("a", 1), nth("a", 2), nth("a", 3), nth("n", 1), map_value("m", "k"), map_value("m", "x"),
+        map_value("e", ""),
+    ).collect()[0]
+    assert tuple(got) == (1, 2, None, None, 5, None, 1)
+    with pytest.raises(ValueError, match="from 1"):
+        nth("a", 0)
+
+
+def test_register_table(spark, people):
+    register_table(people, "registered_people")
+    assert spark.table("registered_people").count() == 4
