@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.avro import functions as connector
 
 from topictables.functions import avro_arrow
-from topictables.plans.schema import avro_type, load_avro, nullable_branch
+from topictables.plans.schema import avro_text, avro_type, load_avro, nullable_branch
 
 MODES = ("FAILFAST", "PERMISSIVE")
 
@@ -87,10 +87,7 @@ def from_avro_message(
     if avro_module_loaded():
         options = {"mode": mode}
         if columns is not None:
-            reader = json.loads(_schema_text(schema))
-            names = {f["name"] for f in kept}
-            reader["fields"] = [f for f in reader["fields"] if f["name"] in names]
-            options["avroSchema"] = json.dumps(reader)
+            options["avroSchema"] = avro_text(dict(node, fields=kept))
         return connector.from_avro(value, _schema_text(schema), options)
 
     permissive = mode == "PERMISSIVE"

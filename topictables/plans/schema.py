@@ -105,6 +105,9 @@ def load_avro(schema: str | dict | list) -> dict | list | str:
                     for f in node["fields"]
                 ]
                 node = {"type": "record", "name": name, "fields": fields}
+            else:
+                node = {k: v for k, v in node.items() if k not in ("namespace", "aliases")}
+                node["name"] = name
             named[name] = node
             return node
         if kind == "array":
@@ -118,6 +121,28 @@ def load_avro(schema: str | dict | list) -> dict | list | str:
     return resolve(schema, None, frozenset())
 
 
+def avro_text(node: dict) -> str:
+    """Avro schema JSON of a resolved schema: every named type is defined where it first occurs."""
+    defined: set[str] = set()
+
+    def written(node):
+        if isinstance(node, list):
+            return [written(branch) for branch in node]
+        if "name" in node:
+            if node["name"] in defined:
+                return node["name"]
+            defined.add(node["name"])
+        if node["type"] == "record":
+            fields = [{"name": f["name"], "type": written(f["type"])} for f in node["fields"]]
+            return dict(node, fields=fields)
+        for part in ("items", "values"):
+            if part in node:
+                return dict(node, **{part: written(node[part])})
+        return node
+
+    return json.dumps(written(node))
+
+
 def nullable_branch(union: list) -> tuple[int, int, dict]:
     """Index of null (-1 if absent), index and schema of the value branch of a union.
 
