@@ -92,11 +92,15 @@ ORACLES = {
     "fanout_multi_sink": """SELECT event_id AS id, event_type AS name, 'people' AS sink FROM events
         UNION ALL SELECT event_id, event_type, 'purchases' FROM events
             WHERE event_type = 'purchase'""",
+    "fixed_partitioning": """SELECT count(*) AS messages, true AS one_partition_each,
+        true AS partitions_exist FROM events""",
     "custom_partitioning": """SELECT cast(user_id % 4 AS integer) AS "partition", event_id
         FROM events""",
     "stream_equals_batch": _PURCHASES,
     "stream_to_avro_topic": """SELECT event_id AS id, event_type AS name,
         cast(user_id AS integer) AS age FROM events""",
+    "proctime_column": """SELECT count(*) AS messages, true AS one_moment, true AS after_sending
+        FROM events""",
     "rowtime_watermark": "SELECT event_id AS id, epoch_us(ts) AS moment_us FROM events",
     "rowtime_from_envelope": """SELECT epoch_us(ts) AS sent_us,
         cast(regexp_extract(props, '"k": *(-?[0-9]+)', 1) AS integer) AS k FROM events""",

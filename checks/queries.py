@@ -468,9 +468,17 @@ def fanout_multi_sink(spark, sf_dir):
 
 
 def fixed_partitioning(spark, sf_dir):
+    """Every writer keeps to one partition of the topic, and none of its messages is lost."""
     rows = m.table(spark, sf_dir, "events").select("event_id", "event_type")
     sent = json_topic("events", path="unused", partitioner=fixed(m.PARTITIONS)).rows(rows)
-    return sent.groupBy("partition").agg(F.count("*").alias("messages"))
+    writers = sent.groupBy(F.spark_partition_id().alias("writer")).agg(
+        F.min("partition").alias("first"), F.max("partition").alias("last"), F.count("*").alias("n")
+    )
+    return writers.agg(
+        F.sum("n").alias("messages"),
+        F.bool_and(F.col("first") == F.col("last")).alias("one_partition_each"),
+        F.bool_and(F.col("first").between(0, m.PARTITIONS - 1)).alias("partitions_exist"),
+    )
 
 
 def custom_partitioning(spark, sf_dir):
@@ -509,8 +517,14 @@ def stream_to_avro_topic(spark, sf_dir):
 
 
 def proctime_column(spark, sf_dir):
-    lines = with_proctime(event_lines(spark, sf_dir), "read_at")
-    return lines.select("id", "read_at")
+    """The time of reading: one moment for a batch, after everything that was sent."""
+    messages = table_topic(m.event_lines(m.table(spark, sf_dir, "events")), "event_lines")
+    lines = delimited_table(messages, LINE_SCHEMA, keep=["timestamp"])
+    return with_proctime(lines, "read_at").agg(
+        F.count("id").alias("messages"),
+        (F.min("read_at") == F.max("read_at")).alias("one_moment"),
+        F.bool_and(F.col("read_at") > F.col("timestamp")).alias("after_sending"),
+    )
 
 
 def rowtime_watermark(spark, sf_dir):

@@ -256,7 +256,7 @@ def test_narrowed_schema_reads_with_the_avro_library(spark):
 def test_broken_messages(spark):
     good = java_encode(spark, LOG, LOG_JSON)
     broken = [good, good[:-4], b"", good, b"\xff" * 30]
-    with pytest.raises(Exception, match="message ends inside|10 bytes|out of range"):
+    with pytest.raises(Exception, match="message ends|out of range"):
         decode_rows(spark, LOG, broken).collect()
     rows = decode_rows(spark, LOG, broken, mode="PERMISSIVE").collect()
     assert [r.r is None for r in rows] == [False, True, True, False, True]

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import types as T
 
-from topictables import avro_schema, json_schema, table_schema
+from topictables import avro_record, avro_schema, json_schema, table_schema
 from topictables.operators.mapping import source_fields
 
 
@@ -112,3 +112,14 @@ def test_mapping():
     ]:
         with pytest.raises(ValueError, match=problem):
             source_fields(declared, fields, mapping)
+
+
+def test_one_record_of_several():
+    inner = record(("i", "int"), name="Inner")
+    several = [record(("a", inner), namespace="space"), record(("b", "space.Inner"), name="Q")]
+    assert avro_schema(avro_record(several, "Q")).simpleString() == "struct<b:struct<i:int>>"
+    text = avro_record(json.dumps(several), "space.R")
+    assert json.loads(text)["name"] == "space.R"
+    assert avro_schema(text).names == ["a"]
+    with pytest.raises(ValueError, match="no record Z"):
+        avro_record(several, "Z")

@@ -6,7 +6,7 @@ from topictables.functions.json_text import from_json_message, to_json_message
 from topictables.operators.conform import check_sink_schema
 from topictables.operators.partitioning import fixed
 from topictables.plans.catalog import Catalog, register_table
-from topictables.plans.schema import avro_schema, json_schema, table_schema
+from topictables.plans.schema import avro_record, avro_schema, json_schema, table_schema
 from topictables.sources.tables import avro_table, delimited_table, json_table
 from topictables.sources.topic import (
     EARLIEST,

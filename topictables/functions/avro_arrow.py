@@ -97,21 +97,22 @@ class Batch:
 
     def varint(self, pos, end):
         """One zig-zag varint per item."""
-        value = np.zeros(len(pos), np.uint64)
-        at = pos.copy()
-        active = np.arange(len(pos))
-        for shift in range(0, 70, 7):
-            here = at[active]
-            if (here >= end[active]).any():
-                raise ValueError("message ends inside a number")
+        if (pos >= end).any():
+            raise ValueError("message ends before a number")
+        byte = self.bytes[pos]
+        value = (byte & 0x7F).astype(np.uint64)
+        at = pos + 1
+        more = np.flatnonzero(byte >= 0x80)
+        shift = 7
+        while len(more):
+            here = at[more]
+            if shift > 63 or (here >= end[more]).any():
+                raise ValueError("message ends inside a number, or a number has over 10 bytes")
             byte = self.bytes[here]
-            value[active] |= (byte & 0x7F).astype(np.uint64) << np.uint64(shift)
-            at[active] += 1
-            active = active[byte >= 0x80]
-            if not len(active):
-                break
-        else:
-            raise ValueError("number of more than 10 bytes")
+            value[more] |= (byte & 0x7F).astype(np.uint64) << np.uint64(shift)
+            at[more] = here + 1
+            more = more[byte >= 0x80]
+            shift += 7
         return _unzigzag(value), at
 
     def spans(self, pos, end):
@@ -333,9 +334,9 @@ def _item_type(node):
 def _last_wins(maps: pa.MapArray) -> pa.MapArray:
     """Keep the last entry of a key that occurs more than once in a map."""
     keys = maps.keys
-    if len(keys) < 2:
-        return maps
     lengths = np.diff(maps.offsets.to_numpy())
+    if lengths.max(initial=0) < 2:
+        return maps
     owner = np.repeat(np.arange(len(maps)), lengths)
     code = keys.dictionary_encode().indices.to_numpy(zero_copy_only=False)
     pair = owner * (int(code.max()) + 1) + code

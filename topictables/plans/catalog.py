@@ -64,8 +64,13 @@ class Catalog:
             raise AttributeError(name) from None
 
     def sql(self, text: str) -> DataFrame:
-        """The rows of a query over the catalog's tables."""
-        return self._spark.sql(text, **{self._name: self})
+        """The rows of a query over the catalog's tables.
+
+        Text that uses `{db.table}` is a format string: other braces in it are doubled.
+        """
+        if f"{{{self._name}." in text:
+            return self._spark.sql(text, **{self._name: self})
+        return self._spark.sql(text)
 
     def create_sink(self, name: str, sink: Sink) -> None:
         if name in self._sinks:

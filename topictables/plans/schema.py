@@ -121,6 +121,16 @@ def load_avro(schema: str | dict | list) -> dict | list | str:
     return resolve(schema, None, frozenset())
 
 
+def avro_record(schema: str | list, name: str) -> str:
+    """One record, by full or last name, out of a schema text that defines several."""
+    resolved = load_avro(schema)
+    records = resolved if isinstance(resolved, list) else [resolved]
+    for node in records:
+        if name in (node.get("name"), node.get("name", "").rpartition(".")[2]):
+            return avro_text(node)
+    raise ValueError(f"the schema defines no record {name}")
+
+
 def avro_text(node: dict) -> str:
     """Avro schema JSON of a resolved schema: every named type is defined where it first occurs."""
     defined: set[str] = set()
