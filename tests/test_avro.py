@@ -256,13 +256,62 @@ def test_narrowed_schema_reads_with_the_avro_library(spark):
 def test_broken_messages(spark):
     good = java_encode(spark, LOG, LOG_JSON)
     broken = [good, good[:-4], b"", good, b"\xff" * 30]
-    with pytest.raises(Exception, match="message ends|out of range"):
+    with pytest.raises(Exception, match="message ends|out of range|empty message"):
         decode_rows(spark, LOG, broken).collect()
     rows = decode_rows(spark, LOG, broken, mode="PERMISSIVE").collect()
     assert [r.r is None for r in rows] == [False, True, True, False, True]
     assert rows[3].r.recArray[0].name == "bob"
 
 
+def test_random_damage_never_spoils_good_messages(spark):
+    """Damaged messages raise or decode to something; their neighbours are untouched."""
+    node = record_node(EVERYTHING)
+    good = [java_encode(spark, EVERYTHING, datum) for datum in EVERYTHING_JSON]
+    expected = avro_arrow.decode(node, pa.array(good, pa.binary())).to_pylist()
+    random = np.random.default_rng(7)
+    for _ in range(150):
+        batch, kept = [], []
+        for _ in range(12):
+            which = int(random.integers(len(good)))
+            message = bytearray(good[which])
+            damage = random.integers(4)
+            if damage == 1:
+                message[random.integers(len(message))] = random.integers(256)
+            elif damage == 2:
+                message = message[: random.integers(len(message))]
+            elif damage == 3:
+                at = random.integers(len(message))
+                message[at:at] = random.bytes(int(random.integers(1, 12)))
+            kept.append(expected[which] if damage == 0 else None)
+            batch.append(bytes(message))
+        rows = avro_arrow.decode(node, pa.array(batch, pa.binary()), permissive=True)
+        assert len(rows) == len(batch)
+        for i, (message, want) in enumerate(zip(batch, kept, strict=True)):
+            assert want is None or rows[i].as_py() == want
+            try:
+                alone = avro_arrow.decode(node, pa.array([message], pa.binary()))[0]
+            except ValueError:
+                alone = None
+            assert rows[i].is_valid == (alone is not None)
+            try:
+                assert alone is None or repr(rows[i].as_py()) == repr(alone.as_py())
+            except UnicodeDecodeError:
+                pass  # damage inside a string
+
+
+def test_counts_and_lengths_beyond_the_message():
+    node = record_node(
+        {"type": "record", "name": "R", "fields": [
+            {"name": "a", "type": {"type": "array", "items": "double"}},
+            {"name": "s", "type": "string"},
+        ]}
+    )
+    huge = avro_arrow.varints(np.array([2**62, -(2**63)]))
+    for message in (huge[0].as_py(), b"\0" + huge[0].as_py(), huge[1].as_py() + b"\2", b""):
+        with pytest.raises(ValueError):
+            avro_arrow.decode(node, pa.array([message], pa.binary()))
+
+
 def test_bytes_after_the_record_are_ignored(spark):
     good = java_encode(spark, LOG, LOG_JSON)
     (row,) = decode_rows(spark, LOG, [good + b"tail"]).collect()

@@ -64,6 +64,9 @@ def test_start_positions(messages):
     assert read(messages, start_at(GROUP, {})) == ALL
     assert read(messages, start_at(GROUP, {}, LATEST)) == {}
     assert read(messages, start_at(SPECIFIC, {500: 3})) == ALL
+    far = {0: 7, 2_000_000_000: 3}
+    assert read(messages, start_at(SPECIFIC, far)) == ALL | {0: (7, 3)}
+    assert read(messages, start_at(SPECIFIC, far, LATEST)) == {0: (7, 3)}
 
 
 def test_latest_after_a_snapshot(messages):
@@ -160,6 +163,8 @@ def test_starting_offsets_option():
 def test_kafka_needs_servers(spark):
     with pytest.raises(ValueError, match="bootstrap.servers"):
         kafka_topic(spark, "t", {})
+    with pytest.raises(ValueError, match="bounded read"):
+        kafka_topic(spark, "t", {"bootstrap.servers": "h"}, start_at(LATEST), stream=False)
 
 
 def test_tables_need_envelopes(spark):

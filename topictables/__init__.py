@@ -36,4 +36,50 @@ from topictables.streaming.sinks import (
 )
 from topictables.streaming.time import with_proctime, with_rowtime
 
-__all__ = [name for name in dir() if not name.startswith("_")]
+__all__ = [
+    "Catalog",
+    "EARLIEST",
+    "ENVELOPE",
+    "GROUP",
+    "LATEST",
+    "SPECIFIC",
+    "Sink",
+    "Start",
+    "avro_record",
+    "avro_schema",
+    "avro_table",
+    "avro_topic",
+    "check_sink_schema",
+    "check_topic",
+    "commit_offsets",
+    "committed_offsets",
+    "console",
+    "delimited_table",
+    "end_offsets",
+    "field",
+    "files",
+    "fixed",
+    "from_avro_message",
+    "from_json_message",
+    "from_start",
+    "json_schema",
+    "json_table",
+    "json_topic",
+    "kafka_topic",
+    "map_field",
+    "map_value",
+    "nth",
+    "nth_field",
+    "register_table",
+    "routed",
+    "start",
+    "start_all",
+    "start_at",
+    "table_schema",
+    "table_topic",
+    "to_avro_message",
+    "to_json_message",
+    "with_proctime",
+    "with_rowtime",
+    "write",
+]

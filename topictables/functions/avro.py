@@ -104,8 +104,9 @@ def from_avro_message(
 def to_avro_message(row: Column, schema: str | dict) -> Column:
     """A struct as one Avro record of the given schema; fields are matched by position."""
     node = record_node(schema)
-    row = row.cast(_nullable(avro_type(node)))
     if avro_module_loaded():
+        # The module matches fields by name; the cast names them by position.
+        row = row.cast(_nullable(avro_type(node)))
         return connector.to_avro(row, _schema_text(schema))
 
     @F.arrow_udf(T.BinaryType())

@@ -72,9 +72,30 @@ def empty_of(node) -> pa.DataType:
     return logical[0] if logical else ARROW_PRIMITIVES[kind]
 
 
+def takes_no_bytes(node) -> bool:
+    if isinstance(node, list):
+        return False
+    if node["type"] == "record":
+        return all(takes_no_bytes(f["type"]) for f in node["fields"])
+    return node["type"] == "null" or (node["type"] == "fixed" and node["size"] == 0)
+
+
 # ------------------------------------------------------------------ decoding
 
 
+class Broken(ValueError):
+    """Messages that do not follow the schema, named by the offset of their end in the batch."""
+
+    def __init__(self, problem: str, ends: np.ndarray):
+        super().__init__(problem)
+        self.ends = ends
+
+
+def _refuse(bad: np.ndarray, end: np.ndarray, problem: str) -> None:
+    if bad.any():
+        raise Broken(problem, end[bad])
+
+
 class Batch:
     """The bytes of a batch of messages, and the steps that read them.
 
@@ -84,8 +105,6 @@ class Batch:
 
     def __init__(self, messages: pa.Array):
         n = len(messages)
-        if n and messages.null_count:
-            raise ValueError("null message")
         bounds = np.frombuffer(messages.buffers()[1], np.int32)[
             messages.offset : messages.offset + n + 1
         ].astype(np.int64)
@@ -97,8 +116,7 @@ class Batch:
 
     def varint(self, pos, end):
         """One zig-zag varint per item."""
-        if (pos >= end).any():
-            raise ValueError("message ends before a number")
+        _refuse(pos >= end, end, "message ends before a number")
         byte = self.bytes[pos]
         value = (byte & 0x7F).astype(np.uint64)
         at = pos + 1
@@ -106,8 +124,7 @@ class Batch:
         shift = 7
         while len(more):
             here = at[more]
-            if shift > 63 or (here >= end[more]).any():
-                raise ValueError("message ends inside a number, or a number has over 10 bytes")
+            _refuse((here >= end[more]) | (shift > 63), end[more], "number without an end")
             byte = self.bytes[here]
             value[more] |= (byte & 0x7F).astype(np.uint64) << np.uint64(shift)
             at[more] = here + 1
@@ -118,8 +135,7 @@ class Batch:
     def spans(self, pos, end):
         """Length-prefixed byte spans: their start and the position after them."""
         length, start = self.varint(pos, end)
-        if (length < 0).any() or (start + length > end).any():
-            raise ValueError("message ends inside a string")
+        _refuse((length < 0) | (length > end - start), end, "message ends inside a string")
         return start, start + length
 
     def cut(self, start, stop, kind) -> pa.Array:
@@ -145,11 +161,12 @@ class Batch:
             return pa.nulls(len(pos)), pos
         if kind in ("int", "long"):
             value, pos = self.varint(pos, end)
+            self._refuse_long(node, value, end)
             return (_integers(node, value) if build else None), pos
         if kind == "enum":
             index, pos = self.varint(pos, end)
-            if (index < 0).any() or (index >= len(node["symbols"])).any():
-                raise ValueError("enum position out of range")
+            unknown = (index < 0) | (index >= len(node["symbols"]))
+            _refuse(unknown, end, "enum position out of range")
             return pa.array(node["symbols"], pa.string()).take(pa.array(index)), pos
         if kind in FIXED_WIDTH:
             dtype = np.dtype(FIXED_WIDTH[kind])
@@ -159,16 +176,21 @@ class Batch:
             start, stop = pos, self._skip(pos, end, node["size"])
         else:
             start, stop = self.spans(pos, end)
+        if is_decimal(node):
+            _refuse(stop - start > 16, end, "decimal of more than 16 bytes")
         if not build:
             return None, stop
         cut = self.cut(start, stop, pa.string() if kind == "string" else pa.binary())
         return (_decimals(node, cut) if is_decimal(node) else cut), stop
 
     def _skip(self, pos, end, width):
-        after = pos + width
-        if (after > end).any():
-            raise ValueError("message ends inside a value")
-        return after
+        _refuse(width > end - pos, end, "message ends inside a value")
+        return pos + width
+
+    @staticmethod
+    def _refuse_long(node, value, end):
+        if node["type"] == "int":
+            _refuse(value != value.astype(np.int32), end, "int out of range")
 
     def _fixed_width(self, kind, pos):
         dtype = np.dtype(FIXED_WIDTH[kind])
@@ -194,8 +216,7 @@ class Batch:
         null_at, value_at, value_node = value_branch(node)
         branch, pos = self.varint(pos, end)
         present = branch == value_at
-        if not (present | (branch == null_at)).all():
-            raise ValueError("union position out of range")
+        _refuse(~(present | (branch == null_at)), end, "union position out of range")
         if present.all():
             return self.read(value_node, pos, end, build)
         values, after = self.read(value_node, pos[present], end[present], build)
@@ -210,12 +231,16 @@ class Batch:
         n, pos = len(pos), pos.copy()
         rows = np.arange(n)
         owners, items = [], []
+        free = node["type"] == "array" and takes_no_bytes(node["items"])
         while len(rows):
             count, at = self.varint(pos[rows], end[rows])
             sized = count < 0
             if sized.any():
                 _, at[sized] = self.varint(at[sized], end[rows[sized]])
                 count = np.abs(count)
+            # Every item takes a byte at least, so a larger count cannot be right.
+            too_many = count > end[rows] - at
+            _refuse((count < 0) | (too_many & (not free)), end[rows], "more items than bytes")
             pos[rows] = at
             rows, count = rows[count > 0], count[count > 0]
             if len(rows):
@@ -257,14 +282,16 @@ class Batch:
             ends = self._varint_ends
             first = np.searchsorted(ends, pos[rows])
             last = first + count - 1
-            if (last >= len(ends)).any() or (ends[last] >= end[rows]).any():
-                raise ValueError("message ends inside an array")
+            known = np.minimum(last, len(ends) - 1)
+            outside = (last >= len(ends)) | (ends[known] >= end[rows])
+            _refuse(outside, end[rows], "message ends inside an array")
             if build:
                 which = _runs(first, count, 1)
                 starts = np.where(which == np.repeat(first, count), 0, ends[which - 1] + 1)
                 starts[np.cumsum(count) - count] = pos[rows]
                 owner = np.repeat(rows, count)
                 value, _ = self.varint(starts, end[owner])
+                self._refuse_long(item, value, end[owner])
                 owners.append(owner)
                 items.append(_integers(item, value))
             pos[rows] = ends[last] + 1
@@ -298,8 +325,6 @@ def _unzigzag(value):
 
 def _integers(node, value):
     if node["type"] == "int":
-        if (value != value.astype(np.int32)).any():
-            raise ValueError("int out of range")
         value = value.astype(np.int32)
     logical = ARROW_LOGICAL_TYPES.get((node["type"], node.get("logicalType")))
     if not logical:
@@ -313,8 +338,6 @@ def _decimals(node, cut: pa.Array) -> pa.Array:
         return pa.array([], empty_of(node))
     lengths = np.diff(np.frombuffer(cut.buffers()[1], np.int32)[cut.offset :][: len(cut) + 1])
     ends = np.frombuffer(cut.buffers()[1], np.int32)[cut.offset + 1 :][: len(cut)]
-    if (lengths > 16).any():
-        raise ValueError("decimal of more than 16 bytes")
     data = np.frombuffer(cut.buffers()[2] or b"\0", np.uint8)
     back = np.arange(16)
     inside = back < lengths[:, None]
@@ -363,32 +386,40 @@ def _pieces(messages: pa.Array, limit: int = 1 << 24):
 def decode(node: dict, messages: pa.Array, permissive: bool = False) -> pa.Array:
     """Messages of one record each as a struct array.
 
-    Null messages become null rows. A broken message raises, or becomes a null row if
-    `permissive`: the batch is halved until the broken message stands alone.
+    Null messages become null rows. Broken messages raise; if `permissive` they become null rows
+    too, and reading starts again without those found so far.
     """
+    if messages.type != pa.binary():
+        messages = messages.cast(pa.binary())
+    parts = [_decode_piece(node, piece, permissive) for piece in _pieces(messages)]
+    parts = parts or [_decode_piece(node, messages, permissive)]
+    return parts[0] if len(parts) == 1 else pa.concat_arrays(parts)
 
-    def part(messages):
-        if messages.null_count:
-            present = messages.is_valid().to_numpy(zero_copy_only=False)
-            values = part(messages.drop_null())
-            return values.take(pa.array(np.cumsum(present) - 1, mask=~present))
+
+def _decode_piece(node: dict, messages: pa.Array, permissive: bool) -> pa.Array:
+    good = np.flatnonzero(messages.is_valid().to_numpy(zero_copy_only=False))
+    left = messages.drop_null() if messages.null_count else messages
+    while True:
+        batch = Batch(left)
+        bad = np.zeros(len(left), bool)
         try:
-            batch = Batch(messages)
-            return batch.read(node, batch.start, batch.end)[0]
-        except ValueError:
+            if not takes_no_bytes(node):
+                # Messages are told apart by where they end, which an empty one does not settle.
+                bad = batch.start == batch.end
+                _refuse(bad, batch.end, "empty message")
+            values = batch.read(node, batch.start, batch.end)[0]
+            break
+        except Broken as problem:
             if not permissive:
                 raise
-        if len(messages) == 1:
-            empty = Batch(messages.slice(0, 0))
-            kind = empty.read(node, empty.start, empty.end)[0].type
-            return pa.nulls(1, kind)
-        half = len(messages) // 2
-        return pa.concat_arrays([part(messages.slice(0, half)), part(messages.slice(half))])
-
-    if messages.type != pa.binary():
-        messages = messages.cast(pa.binary())
-    parts = [part(piece) for piece in _pieces(messages)] or [part(messages)]
-    return parts[0] if len(parts) == 1 else pa.concat_arrays(parts)
+            if not bad.any():
+                bad = np.isin(batch.end, problem.ends)
+            left, good = left.filter(pa.array(~bad)), good[~bad]
+    if len(good) == len(messages):
+        return values
+    where = np.full(len(messages), -1)
+    where[good] = np.arange(len(good))
+    return values.take(pa.array(where, mask=where < 0))
 
 
 # ------------------------------------------------------------------ encoding
@@ -462,7 +493,11 @@ def encode(node, column: pa.Array) -> pa.Array:
         logical = ARROW_LOGICAL_TYPES.get((kind, node.get("logicalType")))
         if logical:
             column = column.cast(logical[0]).cast(pa.int32() if kind == "int" else pa.int64())
+        elif column.type not in (pa.int32(), pa.int64()):
+            column = column.cast(ARROW_PRIMITIVES[kind])
         number = column.to_numpy(zero_copy_only=False)
+        if kind == "int" and (number != number.astype(np.int32)).any():
+            raise ValueError("int out of range")
         return varints(np.floor_divide(number, logical[1]) if logical else number)
     if kind == "enum":
         index = pc.index_in(column, pa.array(node["symbols"], column.type))
@@ -470,6 +505,7 @@ def encode(node, column: pa.Array) -> pa.Array:
             raise ValueError("value is not a symbol of the enum")
         return varints(index.to_numpy(zero_copy_only=False))
     if kind in FIXED_WIDTH:
+        column = column.cast(ARROW_PRIMITIVES[kind])
         return _fixed(column.to_numpy(zero_copy_only=False), FIXED_WIDTH[kind])
     if is_decimal(node):
         column = _decimal_bytes(node, column)
@@ -479,7 +515,7 @@ def encode(node, column: pa.Array) -> pa.Array:
             raise ValueError("value does not have the size of the fixed type")
         return column.cast(pa.binary())
     if kind in ("string", "bytes"):
-        return _prefixed(column.cast(pa.binary()))
+        return _prefixed(column.cast(ARROW_PRIMITIVES[kind]).cast(pa.binary()))
     if kind == "array":
         items = encode(node["items"], column.flatten())
     else:

@@ -113,11 +113,18 @@ def from_start(messages: DataFrame, start: Start) -> DataFrame:
 
 
 def _offset_of(partition: Column, offsets: Mapping[int, int], otherwise: int | None) -> Column:
-    """The start offset of a partition, looked up by position in an array of literals."""
-    starts = F.array(
-        *[F.lit(offsets.get(p, otherwise)).cast("bigint") for p in range(max(offsets) + 1)]
-    )
-    known = F.get(starts, partition)
+    """The start offset of a partition, looked up by position in an array of literals.
+
+    Partitions are numbered from 0; numbers far beyond their count are looked up in a map.
+    """
+    if max(offsets) < 1000 + 10 * len(offsets):
+        starts = F.array(
+            *[F.lit(offsets.get(p, otherwise)).cast("bigint") for p in range(max(offsets) + 1)]
+        )
+        known = F.get(starts, partition)
+    else:
+        pairs = [F.lit(n).cast(t) for p in offsets.items() for n, t in zip(p, ("int", "bigint"))]
+        known = F.create_map(*pairs)[partition]
     return known if otherwise is None else F.coalesce(known, F.lit(otherwise))
 
 
@@ -179,11 +186,14 @@ def kafka_topic(
     check_topic(topic, properties)
     if not properties.get("bootstrap.servers"):
         raise ValueError("a Kafka topic needs bootstrap.servers")
+    start = start or Start()
+    if not stream and start.otherwise == LATEST:
+        raise ValueError("a bounded read cannot start at the latest offset")
     reader = spark.readStream if stream else spark.read
     return (
         reader.format("kafka")
         .option("subscribe", topic)
-        .option("startingOffsets", starting_offsets(topic, start or Start(), partitions))
+        .option("startingOffsets", starting_offsets(topic, start, partitions))
         .options(**kafka_options(properties))
         .options(**(options or {}))
         .load()
