@@ -44,6 +44,13 @@ ORACLES = {
     "delimited_permissive": """SELECT CASE WHEN l_returnflag = 'R' THEN l_orderkey END AS id,
         CASE WHEN l_returnflag = 'R' THEN cast(l_quantity AS integer) END AS amount
         FROM lineitem""",
+    "avro_permissive": """SELECT c_custkey AS "offset",
+        CASE WHEN c_mktsegment <> 'BUILDING' THEN c_custkey END AS key,
+        CASE WHEN c_mktsegment <> 'BUILDING' AND c_acctbal >= 0 THEN c_name END AS name
+        FROM customer""",
+    "json_permissive": """SELECT c_custkey AS "offset",
+        CASE WHEN c_mktsegment <> 'BUILDING' THEN cast(c_custkey AS varchar) END AS id,
+        CASE WHEN c_mktsegment <> 'BUILDING' THEN c_name END AS name FROM customer""",
     "map_lookup_filter": """SELECT l_orderkey AS id, l_returnflag || '-' || l_linestatus AS name,
         cast(l_quantity AS integer) AS age FROM lineitem WHERE l_returnflag = 'R'""",
     "array_element": """SELECT vec_id AS id, cast(embedding[1] AS double) AS first,
