@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from topictables.llm import decontamination, packing, simhash, toxicity
+from topictables.llm import decontamination, packing, pivots, simhash, substrings, toxicity, warc
 
 QUERIES = {
     "op2_packing": packing.op2_packing,
     "op3_toxicity": toxicity.op3_toxicity,
+    "op4_embedding_near_dedup": pivots.op4_embedding_near_dedup,
     "op6_simhash_near_dedup": simhash.op6_simhash_near_dedup,
     "op7_spaced_seed_decontamination": decontamination.op7_spaced_seed_decontamination,
+    "op8_substring_dedup": substrings.op8_substring_dedup,
+    "op10_warc_transactions": warc.op10_warc_transactions,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_warc_transactions": warc.ORACLE}
