@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from topictables.llm import decontamination, packing, pivots, simhash, substrings, toxicity, warc
+from topictables.llm import decontamination, languages, lattice, packing, pivots, simhash, substrings, toxicity, urlfilter, warc
 
 QUERIES = {
+    "op1_lattice_likelihood": lattice.op1_lattice_likelihood,
     "op2_packing": packing.op2_packing,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_embedding_near_dedup": pivots.op4_embedding_near_dedup,
+    "op5_url_filter_as_of": urlfilter.op5_url_filter_as_of,
     "op6_simhash_near_dedup": simhash.op6_simhash_near_dedup,
     "op7_spaced_seed_decontamination": decontamination.op7_spaced_seed_decontamination,
     "op8_substring_dedup": substrings.op8_substring_dedup,
+    "op9_language_mixture": languages.op9_language_mixture,
     "op10_warc_transactions": warc.op10_warc_transactions,
 }
 
-ORACLES: dict[str, str] = {"op10_warc_transactions": warc.ORACLE}
+ORACLES: dict[str, str] = {"op5_url_filter_as_of": urlfilter.ORACLE, "op10_warc_transactions": warc.ORACLE}
