@@ -100,7 +100,7 @@ class Packer:
                 worth = self.needs @ (left / self.limits**2)
                 piece = self._take(int(np.argmax(np.where(fits, worth, -1))))
             elif self.cut:
-                sizes = [p.longest(int(left[0]), int(left[2])) for p in self.open]
+                sizes = self._most(int(left[0]), int(left[2]))
                 i = int(np.argmax(sizes))
                 if sizes[i] < 1:
                     break
@@ -114,6 +114,12 @@ class Packer:
             self._trim(placed, used - (1 << (used.bit_length() - 1)))
         return placed
 
+    def _most(self, room: int, loss_room: int) -> list[int]:
+        """Of each open piece, the most tokens from its start on that keep to both limits."""
+        if any(p.loss is not None for p in self.open):
+            return [p.longest(room, loss_room) for p in self.open]
+        return np.minimum(self.needs[:, 0], min(room, loss_room)).astype(int).tolist()
+
     def _head(self, i: int, length: int) -> Piece:
         piece = self._take(i)
         self._append([Piece(piece.document, piece.ids, piece.start + length, piece.length - length, piece.loss)])
@@ -134,12 +140,14 @@ class WordIds(dict):
     """ASCII-white-space separated word -> its token ids as bytes, kept between the tasks of a worker.
 
     The tokenizer drops white space and never joins across it, so the ids of a text are those of its
-    words one after another. Words of plain letters, with one comma or full stop at most, are encoded
-    many at a time; where one ends shows in the tokens' end-of-word mark.
+    words one after another; it lower-cases, and parts letters from the punctuation around them. So
+    words of plain letters, with or without punctuation, share the ids of their lower-case letters,
+    which are encoded many at a time; where one ends shows in the tokens' end-of-word mark.
     """
 
-    LIMIT = 1_000_000
-    PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+([.,]?)")
+    LIMIT = 1_500_000
+    #: An apostrophe before letters may belong to them, and a bar to a special token; such words are left whole.
+    PLAIN = re.compile(rb"([!-&(-/:-@\[-`{}~]*)((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:-@\[-`{}~]*)")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -157,27 +165,28 @@ class WordIds(dict):
         if len(self) + len(new) > self.LIMIT:
             self.clear()
             new = list(words)
-        plain, parts = [], []
+        match, forms = self.PLAIN.fullmatch, []
         for word in new:
-            text = word.decode()
-            found = self.PLAIN.fullmatch(text)
+            found = match(word)
             if found:
-                plain.append((word, text))
-                parts.append(1 + len(found[1]))
+                before, letters, after = found.groups()
+                forms.append((word, before, letters.lower() if letters.isascii() else letters.decode().lower().encode(), after))
             else:
-                self[word] = self._one(text)
-        for at in range(0, len(plain), 2000):
-            some, counts = plain[at : at + 2000], parts[at : at + 2000]
-            ids = np.array(self.tokenizer.encode(" ".join(t for _, t in some), add_special_tokens=False).ids, "<u4")
+                self[word] = self._one(word.decode())
+        unknown = list({letters for _, _, letters, _ in forms if letters not in self})
+        for at in range(0, len(unknown), 2000):
+            some = unknown[at : at + 2000]
+            ids = np.array(self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False).ids, "<u4")
             ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == sum(counts) and ends[-1] == len(ids):
-                cuts = np.r_[0, ends[np.cumsum(counts) - 1]] * 4
-                blob = ids.tobytes()
-                for (word, _), a, b in zip(some, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                    self[word] = blob[a:b]
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                blob, cuts = ids.tobytes(), [0, *(ends * 4).tolist()]
+                self.update(zip(some, (blob[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)), strict=True))
             else:
-                for word, text in some:
-                    self[word] = self._one(text)
+                self.update((letters, self._one(letters.decode())) for letters in some)
+        marks = {m for _, before, _, after in forms for m in (before, after) if m not in self}
+        self.update((m, self._one(m.decode())) for m in marks)
+        for word, before, letters, after in forms:
+            self[word] = self[before] + self[letters] + self[after]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of whole texts, each as little-endian unsigned 32-bit numbers."""
