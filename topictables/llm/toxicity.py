@@ -121,7 +121,7 @@ def fit(found: list[np.ndarray], y: np.ndarray) -> Machine:
     if not len(names) or not 0 < y.sum() < len(y):
         return machine
     rows, columns, x = [], [], []
-    half = np.arange(len(y)) % 2
+    half = np.random.default_rng(3).permutation(len(y)) % 2
     for side in (0, 1):
         others = np.flatnonzero(half != side)
         known, worth = term_values([found[i] for i in others], y[others])
