@@ -11,14 +11,16 @@ ORACLES = {
         'event_props' AS topic, cast(user_id % 4 AS integer) AS "partition", event_id AS "offset",
         epoch_us(ts) AS timestamp_us FROM events""",
     "delimited_source": _PURCHASES,
-    "avro_source": """SELECT l_orderkey AS id, l_returnflag || '-' || l_linestatus AS name,
-        CASE WHEN l_returnflag <> 'N' THEN cast(l_quantity AS integer) END AS age,
-        l_linestatus AS event_log, l_linenumber AS line FROM lineitem""",
+    "avro_source": """SELECT l_orderkey AS "order", CASE WHEN l_linestatus = 'F' THEN l_returnflag || '/' || l_linestatus END AS remark,
+        CASE WHEN l_returnflag <> 'N' THEN l_quantity END AS quantity, l_linestatus AS status,
+        cast(round(l_extendedprice * 100) AS integer) AS price,
+        cast(epoch(date_trunc('day', l_shipdate)) / 86400 AS integer) + 1 AS second_day,
+        l_partkey AS part FROM lineitem""",
     "json_source": """SELECT event_id AS "offset",
         cast(regexp_extract(props, '"k": *(-?[0-9]+)', 1) AS integer) AS k FROM events""",
-    "json_map_filter": "SELECT c_name AS name FROM customer WHERE c_mktsegment = 'BUILDING'",
-    "json_schema_source": """SELECT cast(c_custkey AS varchar) AS id, c_name AS name,
-        CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_acctbal END AS age FROM customer""",
+    "json_map_filter": """SELECT c_name AS holder FROM customer WHERE c_mktsegment = 'BUILDING'""",
+    "json_schema_source": """SELECT cast(c_custkey AS varchar) AS account, c_name AS holder,
+        CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_acctbal END AS balance FROM customer""",
     "start_earliest": """SELECT cast(user_id % 4 AS integer) AS "partition", event_id AS "offset"
         FROM events""",
     "start_latest": f"""SELECT cast(user_id % 4 AS integer) AS "partition", event_id AS "offset"
@@ -26,6 +28,8 @@ ORACLES = {
     "start_specific_offsets": """SELECT cast(user_id % 4 AS integer) AS "partition",
         event_id AS "offset" FROM events
         WHERE event_id >= CASE user_id % 4 WHEN 0 THEN 23 WHEN 1 THEN 500 ELSE 0 END""",
+    "start_latest_stream": f"""SELECT cast(user_id % 4 AS integer) AS "partition", event_id AS "offset"
+        FROM events e WHERE {_LATE}""",
     "start_group_offsets": f"""SELECT cast(user_id % 4 AS integer) AS "partition",
         event_id AS "offset" FROM events e WHERE {_LATE}""",
     "delimited_ragged": """SELECT o_orderkey AS id, o_orderpriority AS priority,
@@ -45,14 +49,14 @@ ORACLES = {
         CASE WHEN l_returnflag = 'R' THEN cast(l_quantity AS integer) END AS amount
         FROM lineitem""",
     "avro_permissive": """SELECT c_custkey AS "offset",
-        CASE WHEN c_mktsegment <> 'BUILDING' THEN c_custkey END AS key,
-        CASE WHEN c_mktsegment <> 'BUILDING' AND c_acctbal >= 0 THEN c_name END AS name
+        CASE WHEN c_custkey % 3 <> 0 THEN c_custkey END AS key,
+        CASE WHEN c_custkey % 3 <> 0 AND c_acctbal >= 0 THEN c_name END AS name
         FROM customer""",
     "json_permissive": """SELECT c_custkey AS "offset",
-        CASE WHEN c_mktsegment <> 'BUILDING' THEN cast(c_custkey AS varchar) END AS id,
-        CASE WHEN c_mktsegment <> 'BUILDING' THEN c_name END AS name FROM customer""",
-    "map_lookup_filter": """SELECT l_orderkey AS id, l_returnflag || '-' || l_linestatus AS name,
-        cast(l_quantity AS integer) AS age FROM lineitem WHERE l_returnflag = 'R'""",
+        CASE WHEN c_custkey % 3 <> 0 THEN cast(c_custkey AS varchar) END AS account,
+        CASE WHEN c_custkey % 3 <> 0 THEN c_name END AS holder FROM customer""",
+    "map_lookup_filter": """SELECT l_orderkey AS "order", CASE WHEN l_linestatus = 'F' THEN l_returnflag || '/' || l_linestatus END AS remark,
+        l_quantity AS quantity FROM lineitem WHERE l_returnflag = 'R'""",
     "array_element": """SELECT vec_id AS id, cast(embedding[1] AS double) AS first,
         cast(embedding[3] AS double) AS third, cast(NULL AS double) AS past_the_end, label
         FROM embeddings""",
@@ -60,13 +64,13 @@ ORACLES = {
         CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN c_mktsegment END AS label,
         CASE WHEN c_mktsegment <> 'HOUSEHOLD' AND c_acctbal >= 0 THEN c_nationkey END AS nation
         FROM customer""",
-    "map_struct_field": """SELECT l_orderkey AS id, cast(l_partkey AS integer) AS part
+    "map_struct_field": """SELECT l_orderkey AS "order", l_partkey AS part
         FROM lineitem WHERE l_linenumber = 3""",
-    "array_struct_field": """SELECT l_orderkey AS id, l_returnflag AS flag
+    "array_struct_field": """SELECT l_orderkey AS "order", l_returnflag AS flag
         FROM lineitem WHERE l_linestatus = 'F'""",
-    "nested_conjunction": """SELECT l_orderkey AS id, l_returnflag || '-' || l_linestatus AS name,
-        cast(l_quantity AS integer) AS age FROM lineitem
-        WHERE l_returnflag = 'R' AND l_linenumber = 3 AND l_linestatus = 'F'""",
+    "nested_conjunction": """SELECT l_orderkey AS "order", l_quantity AS quantity,
+        'A/F' AS remark FROM lineitem
+        WHERE l_returnflag = 'A' AND l_linestatus = 'F' AND l_linenumber BETWEEN 2 AND 4""",
     "nullable_fields": """SELECT c_custkey AS key,
         CASE WHEN c_acctbal >= 0 THEN c_name END AS name,
         CASE WHEN c_mktsegment <> 'BUILDING' THEN c_nationkey END AS nation,
@@ -78,37 +82,49 @@ ORACLES = {
         CASE WHEN c_mktsegment <> 'FURNITURE' THEN cast(2 AS integer) END AS codes,
         c_mktsegment = 'HOUSEHOLD' AS no_segment FROM customer""",
     "project_columns": "SELECT event_id AS id, event_type AS name FROM events",
-    "select_star": "SELECT cast(c_custkey AS varchar) AS id, c_name AS name FROM customer",
+    "select_star": """SELECT cast(c_custkey AS varchar) AS account, c_name AS holder FROM customer""",
     "field_mapping": """SELECT c_custkey AS customer,
         CASE WHEN c_acctbal < 5000 THEN c_acctbal END AS account,
         CASE WHEN c_mktsegment <> 'BUILDING' THEN c_nationkey END AS country FROM customer""",
-    "schema_narrowing": """SELECT l_orderkey AS id, l_returnflag || '-' || l_linestatus AS name,
-        CASE WHEN l_returnflag <> 'N' THEN cast(l_quantity AS integer) END AS age
-        FROM lineitem""",
-    "catalog_query": """SELECT c_name AS name FROM customer
+    "schema_narrowing": """SELECT l_orderkey AS "order", CASE WHEN l_linestatus = 'F' THEN l_returnflag || '/' || l_linestatus END AS remark,
+        CASE WHEN l_returnflag <> 'N' THEN l_quantity END AS quantity FROM lineitem""",
+    "catalog_query": """SELECT c_name AS holder FROM customer
         WHERE c_mktsegment <> 'MACHINERY' AND c_acctbal > 30""",
-    "avro_roundtrip": "SELECT c_custkey AS id, c_name AS name, c_nationkey AS age FROM customer",
+    "avro_roundtrip": """SELECT c_custkey AS number, c_name AS kind, c_nationkey AS visitor
+        FROM customer""",
     "avro_documents": "SELECT doc_id AS id, text, lang FROM documents",
     "json_roundtrip": "SELECT doc_id, text, lang, n_chars FROM documents",
-    "filter_gt_le_route": """SELECT 'above' AS topic, c_name AS name FROM customer
+    "filter_gt_le_route": """SELECT 'above' AS topic, c_name AS holder FROM customer
             WHERE c_mktsegment <> 'MACHINERY' AND c_acctbal > 30
         UNION ALL SELECT 'up_to', c_name FROM customer
             WHERE c_mktsegment <> 'MACHINERY' AND c_acctbal <= 30
         UNION ALL SELECT 'all', c_name FROM customer""",
-    "insert_into_sink": "SELECT c_name AS name FROM customer WHERE c_mktsegment <> 'MACHINERY'",
-    "fanout_multi_sink": """SELECT event_id AS id, event_type AS name, 'people' AS sink FROM events
+    "insert_into_sink": """SELECT c_name AS holder FROM customer WHERE c_mktsegment <> 'MACHINERY'""",
+    "fanout_multi_sink": """SELECT event_id AS id, event_type AS name, 'actions' AS sink FROM events
         UNION ALL SELECT event_id, event_type, 'purchases' FROM events
             WHERE event_type = 'purchase'""",
-    "fixed_partitioning": """SELECT count(*) AS messages, true AS one_partition_each,
-        true AS partitions_exist FROM events""",
+    "fixed_partitioning": """SELECT event_id, event_type, true AS writer_keeps_to_it
+        FROM events""",
     "custom_partitioning": """SELECT cast(user_id % 4 AS integer) AS "partition", event_id
         FROM events""",
     "stream_equals_batch": _PURCHASES,
-    "stream_to_avro_topic": """SELECT event_id AS id, event_type AS name,
-        cast(user_id AS integer) AS age FROM events""",
-    "proctime_column": """SELECT count(*) AS messages, true AS one_moment, true AS after_sending
-        FROM events""",
+    "stream_to_avro_topic": """SELECT event_id AS number, event_type AS kind,
+        cast(user_id AS integer) AS visitor FROM events""",
+    "proctime_column": """SELECT event_id AS id, event_type AS name, true AS after_sending,
+        true AS now FROM events""",
     "rowtime_watermark": "SELECT event_id AS id, epoch_us(ts) AS moment_us FROM events",
     "rowtime_from_envelope": """SELECT epoch_us(ts) AS sent_us,
         cast(regexp_extract(props, '"k": *(-?[0-9]+)', 1) AS integer) AS k FROM events""",
+    "catalog_table": """SELECT cast(c_custkey AS varchar) AS account, c_name AS holder
+        FROM customer WHERE c_mktsegment <> 'MACHINERY' AND c_acctbal <= 30""",
+    "route_avro_required": """SELECT CASE WHEN c_mktsegment = 'MACHINERY' THEN 'unknown' ELSE 'known' END AS topic,
+            c_name AS holder, CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_acctbal END AS balance
+            FROM customer
+        UNION ALL SELECT 'every', c_name, CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_acctbal END
+            FROM customer""",
+    "print_rows": """SELECT cast(c_custkey AS varchar) AS account, c_name AS holder FROM customer""",
+    "fanout_two_queries": """SELECT event_id AS id, event_type AS name FROM events
+        WHERE event_type IN ('purchase', 'view')""",
+    "delimited_select_star": """SELECT event_id AS id, event_type AS name, user_id AS "user",
+        'eventType=purchase;userId=' || user_id AS event FROM events WHERE event_type = 'purchase'""",
 }

@@ -16,6 +16,7 @@ from topictables import (
     avro_topic,
     commit_offsets,
     committed_offsets,
+    console,
     delimited_table,
     end_offsets,
     files,
@@ -34,6 +35,7 @@ from topictables import (
     table_topic,
     with_proctime,
     with_rowtime,
+    write,
 )
 
 MIDDLE = "2024-01-15 00:00:00"
@@ -44,17 +46,23 @@ LINE_SCHEMA = {
     "user": "LONG",
     "event": "map<string,string>",
 }
-PEOPLE_SCHEMA_TEXT = """{
-    'title': 'Person',
+ACCOUNT_SCHEMA_TEXT = """{
     'type': 'object',
     'properties': {
-        'id': {'type': 'string'},
-        'name': {'type': 'string'},
-        'age': {'description': 'Balance in place of years', 'type': 'number'}
+        'balance': {'type': 'number', 'maximum': 1000000},
+        'account': {'type': 'string', 'description': 'number of the account'},
+        'holder': {'type': 'string'}
     },
-    'required': ['id', 'name']
+    'required': ['account']
 }"""
-PEOPLE_SCHEMA = {"id": "STRING", "name": "STRING", "age": "BIG_DEC"}
+ACCOUNT_SCHEMA = {"account": "STRING", "holder": "STRING", "balance": "BIG_DEC"}
+CUSTOMER_COLUMNS = {
+    "key": "LONG",
+    "name": "STRING",
+    "nation": "INT",
+    "balance": "DOUBLE",
+    "segment": "struct<label:string,nation:int>",
+}
 
 
 # ---------------------------------------------------------------- tables over topics
@@ -65,23 +73,23 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delimited_table(table_topic(messages, "event_lines"), LINE_SCHEMA)
 
 
-def device_logs(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    messages = m.device_logs(m.table(spark, sf_dir, "lineitem"))
-    return avro_table(table_topic(messages, "device_logs"), m.DEVICE_LOG, **options)
+def shipments(spark: SparkSession, sf_dir: str, schema=None, **options) -> DataFrame:
+    messages = m.shipments(m.table(spark, sf_dir, "lineitem"))
+    return json_table(table_topic(messages, "shipments"), schema or m.SHIPMENT_COLUMNS, **options)
 
 
-def customer_records(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    messages = m.customer_records(m.table(spark, sf_dir, "customer"))
-    return avro_table(table_topic(messages, "customers"), m.CUSTOMER, **options)
+def customer_objects(spark: SparkSession, sf_dir: str, schema, **options) -> DataFrame:
+    messages = m.customer_objects(m.table(spark, sf_dir, "customer"))
+    return json_table(table_topic(messages, "customers"), schema, **options)
 
 
-def people_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table_topic(m.customer_people(m.table(spark, sf_dir, "customer")), "people")
+def account_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table_topic(m.accounts(m.table(spark, sf_dir, "customer")), "accounts")
 
 
-def people(spark: SparkSession, sf_dir: str) -> DataFrame:
+def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json_table(
-        people_messages(spark, sf_dir), PEOPLE_SCHEMA, json_schema_text=PEOPLE_SCHEMA_TEXT
+        account_messages(spark, sf_dir), ACCOUNT_SCHEMA, json_schema_text=ACCOUNT_SCHEMA_TEXT
     )
 
 
@@ -106,13 +114,17 @@ def delimited_source(spark, sf_dir):
 
 
 def avro_source(spark, sf_dir):
-    logs = device_logs(spark, sf_dir)
-    return logs.select(
-        "id",
-        "name",
-        "age",
-        map_value("event", "eventLog").alias("event_log"),
-        map_value("intMap", "line").alias("line"),
+    messages = table_topic(m.avro_shipments(m.table(spark, sf_dir, "lineitem")), "shipments")
+    columns = ["order", "remark", "quantity", "labels", "cents", "stops", "parties"]
+    table = avro_table(messages, m.SHIPMENT, columns=columns)
+    return table.select(
+        "order",
+        "remark",
+        "quantity",
+        map_value("labels", "status").alias("status"),
+        map_value("cents", "price").alias("price"),
+        nth_field("stops", 2, "day").alias("second_day"),
+        map_field("parties", "part", "number").alias("part"),
     )
 
 
@@ -122,14 +134,14 @@ def json_source(spark, sf_dir):
 
 
 def json_map_filter(spark, sf_dir):
-    schema = {"id": "STRING", "name": "STRING", "address": "map<string,string>"}
-    table = json_table(people_messages(spark, sf_dir), schema)
-    return table.filter(map_value("address", "segment") == "BUILDING").select("name")
+    schema = {"account": "STRING", "holder": "STRING", "attributes": "map<string,string>"}
+    table = json_table(account_messages(spark, sf_dir), schema)
+    return table.filter(map_value("attributes", "segment") == "BUILDING").select("holder")
 
 
 def json_schema_source(spark, sf_dir):
-    table = people(spark, sf_dir)
-    return table.select("id", "name", F.col("age").cast("double").alias("age"))
+    table = accounts(spark, sf_dir)
+    return table.select("account", "holder", F.col("balance").cast("double").alias("balance"))
 
 
 def start_earliest(spark, sf_dir):
@@ -143,6 +155,17 @@ def start_latest(spark, sf_dir):
     return _started_at(spark, sf_dir, start_at(LATEST, ends))
 
 
+def start_latest_stream(spark, sf_dir):
+    """The same as a stream: it gets what has come since "now"."""
+    path = m.scratch(spark, "latest")
+    messages = m.event_props(m.table(spark, sf_dir, "events"))
+    ends = end_offsets(messages.filter(F.col("timestamp") < MIDDLE))
+    arriving = m.event_props(m.table_stream(spark, sf_dir, "events"))
+    rows = table_topic(arriving, "event_props", start_at(LATEST, ends)).select("partition", "offset")
+    start(rows, files(f"{path}/rows"), f"{path}/checkpoint", available_now=True).awaitTermination()
+    return spark.read.parquet(f"{path}/rows")
+
+
 def start_specific_offsets(spark, sf_dir):
     return _started_at(spark, sf_dir, start_at(SPECIFIC, {0: 23, 1: 500, 3: 0}))
 
@@ -187,8 +210,7 @@ def delimited_ragged(spark, sf_dir):
     return table.select("id", "priority", "customer", map_value("event", "status").alias("status"))
 
 
-def delimited_map(spark, sf_dir):
-    """Maps with a repeated key, an extra part, an entry without a value and an empty entry."""
+def _map_lines(spark, sf_dir):
     lines = m.table(spark, sf_dir, "lineitem")
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     entries = F.concat(
@@ -197,9 +219,14 @@ def delimited_map(spark, sf_dir):
     text = F.concat(F.col("l_orderkey").cast("string"), F.lit("\t"), entries)
     key = F.col("l_orderkey")
     messages = m.envelope(lines, "lines", text, partition_by=key, offset=key)
-    table = delimited_table(
+    return delimited_table(
         table_topic(messages, "lines"), {"id": "LONG", "event": "map<string,string>"}
     )
+
+
+def delimited_map(spark, sf_dir):
+    """Maps with a repeated key, an extra part, an entry without a value and an empty entry."""
+    table = _map_lines(spark, sf_dir)
     return table.select(
         "id",
         map_value("event", "flag").alias("flag"),
@@ -211,6 +238,15 @@ def delimited_map(spark, sf_dir):
     )
 
 
+def delimited_select_star(spark, sf_dir):
+    """All columns of the lines whose map has a value, the map as JSON in the order of its keys."""
+    register_table(event_lines(spark, sf_dir), "event_line_table")
+    rows = spark.sql("SELECT * FROM event_line_table WHERE event['eventType'] = 'purchase'")
+    entries = F.array_sort(F.map_entries("event"))
+    pairs = F.transform(entries, lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return rows.withColumn("event", F.concat_ws(";", pairs))
+
+
 def delimited_types(spark, sf_dir):
     orders = m.table(spark, sf_dir, "orders")
     day = F.col("o_orderdate")
@@ -299,26 +335,29 @@ def delimited_permissive(spark, sf_dir):
 
 
 def avro_permissive(spark, sf_dir):
-    """Messages of one segment are cut short: their rows are null throughout."""
-    customer = m.table(spark, sf_dir, "customer")
-    cut = m.customer_records(customer.filter("c_mktsegment = 'BUILDING'")).withColumn(
-        "value", F.expr("substring(value, 1, length(value) - 1)")
+    """Every third message is cut short: their rows are null throughout."""
+    messages = m.customer_records(m.table(spark, sf_dir, "customer"))
+    table = avro_table(
+        table_topic(_cut_some(messages), "customers"),
+        m.CUSTOMER,
+        columns=["key", "name"],
+        mode="PERMISSIVE",
+        keep=["offset"],
     )
-    whole = m.customer_records(customer.filter("c_mktsegment <> 'BUILDING'"))
-    messages = table_topic(cut.unionByName(whole), "customers")
-    table = avro_table(messages, m.CUSTOMER, mode="PERMISSIVE", keep=["offset"])
     return table.select("offset", "key", "name")
 
 
+def _cut_some(messages):
+    """The last byte of every third message is missing."""
+    short = F.expr("substring(value, 1, length(value) - 1)")
+    value = F.when(F.col("offset") % 3 == 0, short).otherwise(F.col("value"))
+    return messages.withColumn("value", value)
+
+
 def json_permissive(spark, sf_dir):
-    """Messages of one segment are cut short: their rows are null throughout."""
-    customer = m.table(spark, sf_dir, "customer")
-    cut = m.customer_people(customer.filter("c_mktsegment = 'BUILDING'")).withColumn(
-        "value", F.expr("substring(value, 1, length(value) - 1)")
-    )
-    whole = m.customer_people(customer.filter("c_mktsegment <> 'BUILDING'"))
-    messages = table_topic(cut.unionByName(whole), "people")
-    schema = {"id": "STRING", "name": "STRING"}
+    """Every third message is cut short: their rows are null throughout."""
+    messages = table_topic(_cut_some(m.accounts(m.table(spark, sf_dir, "customer"))), "accounts")
+    schema = {"account": "STRING", "holder": "STRING"}
     return json_table(messages, schema, mode="PERMISSIVE", keep=["offset"])
 
 
@@ -326,13 +365,14 @@ def json_permissive(spark, sf_dir):
 
 
 def map_lookup_filter(spark, sf_dir):
-    logs = device_logs(spark, sf_dir)
-    return logs.filter(map_value("event", "eventTag") == "R").select("id", "name", "age")
+    table = shipments(spark, sf_dir)
+    return table.filter(map_value("labels", "flag") == "R").select("order", "remark", "quantity")
 
 
 def array_element(spark, sf_dir):
-    messages = m.embedding_records(m.table(spark, sf_dir, "embeddings"))
-    table = avro_table(table_topic(messages, "embeddings"), m.EMBEDDING)
+    messages = m.embedding_objects(m.table(spark, sf_dir, "embeddings"))
+    schema = {"id": "LONG", "vector": "array<float>", "label": "INT"}
+    table = json_table(table_topic(messages, "embeddings"), schema)
     return table.select(
         "id",
         nth("vector", 1).cast("double").alias("first"),
@@ -343,35 +383,36 @@ def array_element(spark, sf_dir):
 
 
 def struct_field(spark, sf_dir):
-    table = customer_records(spark, sf_dir)
+    table = customer_objects(spark, sf_dir, CUSTOMER_COLUMNS)
     return table.select("key", "segment.label", F.col("segment").getField("nation").alias("nation"))
 
 
 def map_struct_field(spark, sf_dir):
-    logs = device_logs(spark, sf_dir)
-    return logs.filter(map_field("recMap", "line", "id") == 3).select(
-        "id", map_field("recMap", "part", "id").alias("part")
+    table = shipments(spark, sf_dir)
+    return table.filter(map_field("parties", "line", "number") == 3).select(
+        "order", map_field("parties", "part", "number").alias("part")
     )
 
 
 def array_struct_field(spark, sf_dir):
-    logs = device_logs(spark, sf_dir)
-    return logs.filter(nth_field("recArray", 1, "name") == "F").select(
-        "id", nth_field("recArray", 2, "name").alias("flag")
+    table = shipments(spark, sf_dir)
+    return table.filter(nth_field("stops", 1, "status") == "F").select(
+        "order", nth_field("stops", 2, "status").alias("flag")
     )
 
 
 def nested_conjunction(spark, sf_dir):
-    register_table(device_logs(spark, sf_dir), "device_log_table")
+    register_table(shipments(spark, sf_dir), "shipment_table")
     return spark.sql(
-        """SELECT id, name, age FROM device_log_table
-           WHERE event['eventTag'] = 'R' AND recMap['line'].id = 3
-             AND try_element_at(strArray, 1) = 'R' AND try_element_at(recArray, 1).name = 'F'"""
+        """SELECT order, quantity, remark FROM shipment_table
+           WHERE try_element_at(stops, 1).status = 'F' AND try_element_at(flags, 1) <> 'N'
+             AND labels['flag'] = 'A' AND parties['line'].number BETWEEN 2 AND 4"""
     )
 
 
 def nullable_fields(spark, sf_dir):
-    table = customer_records(spark, sf_dir)
+    messages = m.customer_records(m.table(spark, sf_dir, "customer"))
+    table = avro_table(table_topic(messages, "customers"), m.CUSTOMER)
     return table.select(
         "key",
         "name",
@@ -394,26 +435,33 @@ def project_columns(spark, sf_dir):
 
 
 def select_star(spark, sf_dir):
-    schema = {"id": "STRING", "name": "STRING"}
-    table = json_table(people_messages(spark, sf_dir), schema)
-    register_table(table, "people_table")
-    return spark.sql("SELECT * FROM people_table")
+    schema = {"account": "STRING", "holder": "STRING"}
+    table = json_table(account_messages(spark, sf_dir), schema)
+    register_table(table, "account_table")
+    return spark.sql("SELECT * FROM account_table")
 
 
 def field_mapping(spark, sf_dir):
     schema = {"customer": "LONG", "account": "DOUBLE", "country": "INT"}
     mapping = {"customer": "key", "account": "balance", "country": "nation"}
-    return customer_records(spark, sf_dir, schema=schema, mapping=mapping)
+    return customer_objects(spark, sf_dir, schema, mapping=mapping)
 
 
 def schema_narrowing(spark, sf_dir):
-    return device_logs(spark, sf_dir, schema={"id": "LONG", "name": "STRING", "age": "INT"})
+    return shipments(spark, sf_dir, {"order": "LONG", "quantity": "DOUBLE", "remark": "STRING"})
 
 
 def catalog_query(spark, sf_dir):
     catalog = Catalog(spark, "topics")
-    catalog.create_table("people", people(spark, sf_dir), ignore_if_exists=True)
-    return catalog.sql("SELECT name FROM {topics.people} WHERE age > 30")
+    catalog.create_table("tables", accounts(spark, sf_dir), ignore_if_exists=True)
+    return catalog.sql("SELECT holder FROM {topics.tables} WHERE balance > 30")
+
+
+def catalog_table(spark, sf_dir):
+    """A table of the catalog without SQL text."""
+    catalog = Catalog(spark, "topics")
+    catalog.create_table("accounts", accounts(spark, sf_dir), ignore_if_exists=True)
+    return catalog.table("accounts").filter("balance <= 30").select("account", "holder")
 
 
 # ---------------------------------------------------------------- sinks
@@ -421,10 +469,10 @@ def catalog_query(spark, sf_dir):
 
 def avro_roundtrip(spark, sf_dir):
     rows = m.table(spark, sf_dir, "customer").select(
-        F.col("c_custkey"), F.col("c_name"), F.col("c_nationkey")
+        F.col("c_name"), F.col("c_custkey"), F.col("c_nationkey")
     )
-    sent = avro_topic("people", m.PERSON, path="unused").rows(rows)
-    return avro_table(sent, m.PERSON)
+    sent = avro_topic("actions", m.ACTION, path="unused").rows(rows)
+    return avro_table(sent, m.ACTION)
 
 
 def avro_documents(spark, sf_dir):
@@ -441,27 +489,66 @@ def json_roundtrip(spark, sf_dir):
 
 
 def filter_gt_le_route(spark, sf_dir):
-    """Three outputs of one table: above 30, up to 30, and all names."""
-    age = F.col("age")
-    one = {"name": "STRING"}
+    """Three outputs of one table: balances above 30, up to 30, and all holders."""
+    balance = F.col("balance")
+    one = {"holder": "STRING"}
     messages = routed(
-        people(spark, sf_dir),
+        accounts(spark, sf_dir),
         [
-            (age > 30, ["name"], json_topic("above", schema=one, path="unused")),
-            (age <= 30, ["name"], json_topic("up_to", schema=one, path="unused")),
-            (None, ["name"], json_topic("all", schema=one, path="unused")),
+            (balance > 30, ["holder"], json_topic("above", schema=one, path="unused")),
+            (balance <= 30, ["holder"], json_topic("up_to", schema=one, path="unused")),
+            (None, ["holder"], json_topic("all", schema=one, path="unused")),
         ],
     )
     return json_table(messages, one, keep=["topic"])
 
 
+def route_avro_required(spark, sf_dir):
+    """Three outputs in Avro. One requires a balance, which the rows of its route all have."""
+
+    def record(name, *fields):
+        return {
+            "type": "record",
+            "name": name,
+            "fields": [{"name": field, "type": kind} for field, kind in fields],
+        }
+
+    text, number = "string", "double"
+    known = record("Known", ("holder", ["null", text]), ("balance", number))
+    unknown = record("Unknown", ("holder", ["null", text]))
+    every = record("Every", ("holder", ["null", text]), ("balance", ["null", number]))
+    rows = accounts(spark, sf_dir).withColumn("balance", F.col("balance").cast("double"))
+    balance = F.col("balance")
+    messages = routed(
+        rows,
+        [
+            (balance.isNotNull(), ["holder", "balance"], avro_topic("known", known, path="unused")),
+            (balance.isNull(), ["holder"], avro_topic("unknown", unknown, path="unused")),
+            (None, ["holder", "balance"], avro_topic("every", every, path="unused")),
+        ],
+    )
+    parts = [
+        avro_table(messages.filter(F.col("topic") == topic), schema, keep=["topic"])
+        for topic, schema in (("known", known), ("unknown", unknown), ("every", every))
+    ]
+    return parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2])
+
+
+def print_rows(spark, sf_dir):
+    """All accounts are printed where they are computed; the rows that were sent to print."""
+    rows = accounts(spark, sf_dir).select("account", "holder")
+    printed = console()
+    write(rows, printed)
+    return printed.rows(rows)
+
+
 def insert_into_sink(spark, sf_dir):
     path = m.scratch(spark, "insert")
     catalog = Catalog(spark, "topics")
-    catalog.create_table("people", people(spark, sf_dir))
-    catalog.create_sink("output", files(path, {"name": "STRING"}))
-    catalog.insert_into("output", "SELECT name FROM {topics.people} WHERE age > 30")
-    catalog.insert_into("output", "SELECT name FROM {topics.people} WHERE age <= 30")
+    catalog.create_table("accounts", accounts(spark, sf_dir), ignore_if_exists=True)
+    catalog.create_sink("output", files(path, {"holder": "STRING"}))
+    catalog.insert_into("output", "SELECT holder FROM {topics.accounts} WHERE balance > 30")
+    catalog.insert_into("output", "SELECT holder FROM {topics.accounts} WHERE balance <= 30")
     return spark.read.parquet(path)
 
 
@@ -473,36 +560,47 @@ def fanout_multi_sink(spark, sf_dir):
         LINE_SCHEMA,
     )
 
-    def all_people(rows):
-        return rows.select("id", "name", F.col("user").cast("int").alias("age"))
+    def actions(rows):
+        return rows.select("name", "id", F.col("user").cast("int"))
 
     def purchases(rows):
         return rows.filter(map_value("event", "eventType") == "purchase").select("id", "name")
 
     outputs = [
-        (all_people, avro_topic("people", m.PERSON, path=f"{path}/people")),
+        (actions, avro_topic("actions", m.ACTION, path=f"{path}/actions")),
         (purchases, files(f"{path}/purchases", {"id": "LONG", "name": "STRING"})),
     ]
     start_all(lines, outputs, f"{path}/checkpoint", available_now=True).awaitTermination()
-    sent = avro_table(spark.read.parquet(f"{path}/people"), m.PERSON)
+    sent = avro_table(spark.read.parquet(f"{path}/actions"), m.ACTION)
     bought = spark.read.parquet(f"{path}/purchases").select("id", "name")
-    return sent.select("id", "name", F.lit("people").alias("sink")).unionByName(
+    return sent.select(F.col("number").alias("id"), F.col("kind").alias("name"), F.lit("actions").alias("sink")).unionByName(
         bought.withColumn("sink", F.lit("purchases"))
     )
 
 
+def fanout_two_queries(spark, sf_dir):
+    """Two queries with their own checkpoints add to one path."""
+    path = m.scratch(spark, "two")
+    for kind in ("purchase", "view"):
+        lines = delimited_table(
+            table_topic(m.event_lines(m.table_stream(spark, sf_dir, "events")), "event_lines"),
+            LINE_SCHEMA,
+        )
+        rows = lines.filter(F.col("name") == kind).select("id", "name")
+        outputs = [(None, files(f"{path}/rows", {"id": "LONG", "name": "STRING"}))]
+        start_all(rows, outputs, f"{path}/{kind}", available_now=True).awaitTermination()
+    return spark.read.parquet(f"{path}/rows").select("id", "name")
+
+
 def fixed_partitioning(spark, sf_dir):
-    """Every writer keeps to one partition of the topic, and none of its messages is lost."""
+    """The partition of every message, and that its writer keeps to one."""
     rows = m.table(spark, sf_dir, "events").select("event_id", "event_type")
     sent = json_topic("events", path="unused", partitioner=fixed(m.PARTITIONS)).rows(rows)
-    writers = sent.groupBy(F.spark_partition_id().alias("writer")).agg(
-        F.min("partition").alias("first"), F.max("partition").alias("last"), F.count("*").alias("n")
-    )
-    return writers.agg(
-        F.sum("n").alias("messages"),
-        F.bool_and(F.col("first") == F.col("last")).alias("one_partition_each"),
-        F.bool_and(F.col("first").between(0, m.PARTITIONS - 1)).alias("partitions_exist"),
-    )
+    # The partition follows from the number of the writer, which is that of its task.
+    expected = F.pmod(F.spark_partition_id(), F.lit(m.PARTITIONS))
+    checked = sent.withColumn("writer_keeps_to_it", F.col("partition") == expected)
+    kept = ["writer_keeps_to_it"]
+    return json_table(checked, {"event_id": "LONG", "event_type": "STRING"}, keep=kept)
 
 
 def custom_partitioning(spark, sf_dir):
@@ -534,20 +632,22 @@ def stream_to_avro_topic(spark, sf_dir):
     path = m.scratch(spark, "avro")
     messages = m.event_lines(m.table_stream(spark, sf_dir, "events"))
     lines = delimited_table(table_topic(messages, "event_lines"), LINE_SCHEMA)
-    rows = lines.select("id", "name", F.col("user").cast("int").alias("age"))
-    sink = avro_topic("people", m.PERSON, path=f"{path}/people", partitions=m.PARTITIONS)
+    rows = lines.select("name", "id", F.col("user").cast("int"))
+    sink = avro_topic("actions", m.ACTION, path=f"{path}/actions", partitions=m.PARTITIONS)
     start(rows, sink, f"{path}/checkpoint", available_now=True).awaitTermination()
-    return avro_table(spark.read.parquet(f"{path}/people"), m.PERSON)
+    return avro_table(spark.read.parquet(f"{path}/actions"), m.ACTION)
 
 
 def proctime_column(spark, sf_dir):
-    """The time of reading: one moment for a batch, after everything that was sent."""
+    """The time of reading, after the message was sent and not before the query began."""
     messages = table_topic(m.event_lines(m.table(spark, sf_dir, "events")), "event_lines")
     lines = delimited_table(messages, LINE_SCHEMA, keep=["timestamp"])
-    return with_proctime(lines, "read_at").agg(
-        F.count("id").alias("messages"),
-        (F.min("read_at") == F.max("read_at")).alias("one_moment"),
-        F.bool_and(F.col("read_at") > F.col("timestamp")).alias("after_sending"),
+    timed = with_proctime(lines, "read_at")
+    return timed.select(
+        "id",
+        "name",
+        (F.col("read_at") > F.col("timestamp")).alias("after_sending"),
+        (F.col("read_at") == F.current_timestamp()).alias("now"),
     )
 
 
@@ -587,10 +687,12 @@ QUERIES = {
         json_schema_source,
         start_earliest,
         start_latest,
+        start_latest_stream,
         start_specific_offsets,
         start_group_offsets,
         delimited_ragged,
         delimited_map,
+        delimited_select_star,
         delimited_types,
         delimited_custom_delims,
         delimited_permissive,
@@ -608,12 +710,16 @@ QUERIES = {
         field_mapping,
         schema_narrowing,
         catalog_query,
+        catalog_table,
         avro_roundtrip,
         avro_documents,
         json_roundtrip,
         filter_gt_le_route,
+        route_avro_required,
+        print_rows,
         insert_into_sink,
         fanout_multi_sink,
+        fanout_two_queries,
         fixed_partitioning,
         custom_partitioning,
         stream_equals_batch,

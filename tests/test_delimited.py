@@ -9,12 +9,12 @@ from pyspark.sql import types as T
 
 from topictables import delimited_table, table_schema
 
-PERSON = table_schema(
+ITEM = table_schema(
     {
         "id": "INT",
         "name": "STRING",
-        "age": "INT",
-        "event": T.MapType(T.StringType(), T.StringType()),
+        "count": "INT",
+        "labels": T.MapType(T.StringType(), T.StringType()),
     }
 )
 
@@ -24,13 +24,13 @@ def messages(spark, *values):
     return spark.createDataFrame(rows, "value binary")
 
 
-def decode(spark, value, schema=PERSON, **options):
+def decode(spark, value, schema=ITEM, **options):
     (row,) = delimited_table(messages(spark, value), schema, **options).collect()
     return tuple(row)
 
 
 MESSAGES = [
-    ("1\ta\t32\teventTag:10004,eventLog:info", (1, "a", 32, {"eventTag": "10004", "eventLog": "info"})),
+    ("7\tink\t5\tcolour:blue,size:big", (7, "ink", 5, {"colour": "blue", "size": "big"})),
     ("1\ta", (1, "a", None, None)),
     ("1\ta\t\t", (1, "a", None, None)),
     ("1\t\t32", (1, "", 32, None)),
@@ -54,7 +54,7 @@ MESSAGES = [
 @pytest.mark.parametrize("options", [{}, {"mode": "PERMISSIVE"}, {"check_all": True}])
 def test_messages(spark, options):
     texts = [message for message, _ in MESSAGES]
-    rows = delimited_table(messages(spark, *texts).coalesce(1), PERSON, **options).collect()
+    rows = delimited_table(messages(spark, *texts).coalesce(1), ITEM, **options).collect()
     for (message, expected), row in zip(MESSAGES, rows, strict=True):
         assert tuple(row) == expected, message
 
@@ -146,15 +146,22 @@ def test_other_types_are_refused(spark):
 
 
 def test_unused_columns_are_not_parsed(spark):
-    df = delimited_table(messages(spark, "x\ta\t32"), PERSON)
+    df = delimited_table(messages(spark, "x\ta\t32"), ITEM)
     assert [r.name for r in df.select("name").collect()] == ["a"]
-    checked = delimited_table(messages(spark, "x\ta\t32"), PERSON, check_all=True)
+    checked = delimited_table(messages(spark, "x\ta\t32"), ITEM, check_all=True)
     with pytest.raises(Exception, match="not a"):
         checked.select("name").collect()
 
 
 def test_map_filter(spark):
     df = delimited_table(
-        messages(spark, "1\ta\t32\teventTag:10004,eventLog:info", "2\tb\t30\teventTag:1", "3\tc"), PERSON
+        messages(spark, "7\tink\t5\tcolour:blue,size:big", "8\tpen\t6\tcolour:red", "9\tcap"), ITEM
     )
-    assert [r.id for r in df.filter(F.col("event")["eventTag"] == "10004").collect()] == [1]
+    assert [r.id for r in df.filter(F.col("labels")["colour"] == "blue").collect()] == [7]
+
+
+def test_delimiters_that_overlap_themselves(spark):
+    schema = table_schema({"a": "STRING", "b": "STRING", "c": "STRING"})
+    cases = {"a|||": ("a", "|", None), "a||": ("a", None, None), "||||": (None, None, None), "": ("", None, None), "|||b": ("", "|b", None), "a||b||||": ("a", "b", None)}
+    for message, expected in cases.items():
+        assert decode(spark, message, schema, field_delimiter="||") == expected, message

@@ -1,11 +1,14 @@
 """Sinks, partition assignment, several outputs, catalog, time columns."""
 
 import json
+import re
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 
-from checks.messages import PERSON, event_lines, table_stream
+from checks.messages import event_lines, scratch, table_stream
 from topictables import (
     Catalog,
     avro_table,
@@ -33,6 +36,15 @@ from topictables import (
     write,
 )
 
+RECORD = {
+    "type": "record",
+    "name": "Counted",
+    "fields": [
+        {"name": "key", "type": "long"},
+        {"name": "label", "type": "string"},
+        {"name": "count", "type": "int"},
+    ],
+}
 LINES = {"id": "LONG", "name": "STRING", "user": "LONG", "event": "map<string,string>"}
 
 
@@ -53,9 +65,9 @@ def test_json_messages_keep_nulls(people):
 
 
 def test_columns_are_matched_by_position(people):
-    sink = avro_topic("t", PERSON, path="unused")
+    sink = avro_topic("t", RECORD, path="unused")
     sent = sink.rows(people.filter("age > 0").select("id", F.col("name").alias("label"), "age"))
-    rows = avro_table(sent, PERSON).orderBy("id").collect()
+    rows = avro_table(sent, RECORD).orderBy("id").collect()
     assert [tuple(r) for r in rows] == [(1, "a", 29), (2, "b", 30), (3, "c", 31)]
 
 
@@ -66,12 +78,12 @@ def test_sink_schema_check(people):
         with pytest.raises(ValueError, match=problem):
             check_sink_schema(people.select(*columns).schema, schema)
     with pytest.raises(ValueError, match="columns"):
-        avro_topic("t", PERSON, path="unused").rows(people.select("id"))
+        avro_topic("t", RECORD, path="unused").rows(people.select("id"))
 
 
 def test_null_in_a_required_column(people):
-    with pytest.raises(Exception, match="null in the required column age"):
-        avro_topic("t", PERSON, path="unused").rows(people).collect()
+    with pytest.raises(Exception, match="null in the required column count"):
+        avro_topic("t", RECORD, path="unused").rows(people).collect()
 
 
 def test_kafka_sink_options():
@@ -130,6 +142,11 @@ def test_routes(people):
 def test_catalog(spark, people, tmp_path):
     for name in ("topics", "elsewhere"):
         catalog = Catalog(spark, name)
+        for table in ("tables", "table", "sql", "create_table", "_tables"):
+            catalog.create_table(table, people.filter("id = 1"))
+            query = f"SELECT id FROM {{{name}.{table}}}"
+            assert [r.id for r in catalog.sql(query).collect()] == [1]
+            catalog.drop_table(table)
         catalog.create_table("people", people)
         catalog.create_table("people", spark.range(1), ignore_if_exists=True)
         with pytest.raises(ValueError, match="exists"):
@@ -186,7 +203,7 @@ def test_several_outputs_and_group_offsets(spark, sf_dir, tmp_path):
     outputs = [
         (lambda rows: rows.select("id"), json_topic("ids", path=f"{out}/ids")),
         (lambda rows: rows.filter("name = 'view'").select("id"), files(f"{out}/views")),
-        (lambda rows: rows.select("id").limit(1), console(1)),
+        (lambda rows: rows.select("id").limit(1), console()),
     ]
 
     def commit(batch, _):
@@ -208,18 +225,69 @@ def test_several_outputs_and_group_offsets(spark, sf_dir, tmp_path):
         start_all(lines, [(None, files("x", {"a": "INT", "b": "INT"}))], "unused")
 
 
-def test_console(people, capfd):
-    write(people, console(2))
-    assert "only showing top 2 rows" in capfd.readouterr().out
+PRINTING = """
+import sys
+from pyspark.sql import SparkSession, functions as F
+from topictables import console, start, write
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+rows = spark.range(0, 300, 1, 3).select(F.lit("row"), "id", F.lit(None).cast("int"))
+write(rows, console())
+rows.write.parquet(sys.argv[1] + "/in")
+stream = spark.readStream.schema(rows.schema).parquet(sys.argv[1] + "/in")
+sent = stream.select(F.lit("sent"), "id")
+start(sent, console(), sys.argv[1] + "/c", available_now=True).awaitTermination()
+"""
 
 
-def test_stream_to_console(spark, sf_dir, tmp_path):
-    lines = delimited_table(event_lines(table_stream(spark, sf_dir, "events")), LINES)
-    query = start(
-        lines.select("id"), console(1), str(tmp_path / "c"), available_now=True, name="printed"
-    )
-    query.awaitTermination()
-    assert query.lastProgress["numInputRows"] == 1000
+def test_console_prints_every_row(tmp_path):
+    """Workers print to the output of the process that began them."""
+    command = [sys.executable, "-c", PRINTING, str(tmp_path)]
+    done = subprocess.run(command, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    lines = re.findall(r"(?:row|sent),[0-9]+(?:,null)?", done.stdout + done.stderr)
+    expected = [f"row,{i},null" for i in range(300)] + [f"sent,{i}" for i in range(300)]
+    assert sorted(lines) == sorted(expected)
+
+
+def test_queries_with_other_checkpoints_add_to_a_path(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(3).write.parquet(source)
+    stream = spark.readStream.schema("id bigint").parquet(source)
+    for name, expected in (("a", 3), ("b", 6), ("a", 6)):
+        outputs = [(None, files(out))]
+        start_all(stream, outputs, str(tmp_path / name), available_now=True).awaitTermination()
+        assert spark.read.parquet(out).count() == expected
+
+
+def test_routes_leave_rows_of_other_routes_alone(people):
+    """One route requires a column that is null in the rows of the other."""
+    some = {"type": "record", "name": "S", "fields": [{"name": "age", "type": "int"}]}
+    rows = people.withColumn("age", F.col("age"))
+    routes = [
+        (F.col("age").isNotNull(), ["age"], avro_topic("known", some, path="unused")),
+        (F.col("age").isNull(), ["name"], json_topic("unknown", path="unused")),
+    ]
+    sent = {(r.topic, bytes(r.value)) for r in routed(rows, routes).collect()}
+    assert sent == {("known", bytes([2 * n])) for n in (29, 30, 31)} | {("unknown", b'{"name":"d"}')}
+    with pytest.raises(Exception, match="null in the required column age"):
+        routed(rows, [(None, ["age"], avro_topic("all", some, path="unused"))]).collect()
+
+
+def test_scratch_is_shared_or_local():
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="share"):
+        scratch(Session(), "x")
+    Session.sparkContext.master = "local[2]"
+    assert "/x-" in scratch(Session(), "x")
 
 
 def test_time_columns(spark, sf_dir):

@@ -17,6 +17,7 @@ from topictables import (
     delimited_table,
     end_offsets,
     json_table,
+    reset_offsets,
     start_at,
     table_topic,
 )
@@ -76,6 +77,25 @@ def test_latest_after_a_snapshot(messages):
     assert read(messages, start_at(LATEST, ends)) == {
         0: (6, 4), 1: (6, 4), 2: (6, 4), 3: (106, 4)
     }
+    # A partition without messages then has only later ones.
+    assert read(messages, start_at(LATEST, {0: 6, 1: 6, 2: 6}))[3] == (100, 10)
+
+
+def test_streams_need_the_ends_to_start_at_the_latest_offset(spark, messages, tmp_path):
+    path = str(tmp_path / "topic")
+    messages.filter("offset % 100 < 6").write.parquet(path)
+    ends = end_offsets(table_topic(spark.read.parquet(path), "t"))
+    stream = spark.readStream.schema(ENVELOPE).parquet(path)
+    for start in (start_at(LATEST), start_at(SPECIFIC, {0: 7}, LATEST), start_at(GROUP, {}, LATEST)):
+        with pytest.raises(ValueError, match="end offsets"):
+            table_topic(stream, "t", start)
+    later = table_topic(stream, "t", start_at(LATEST, ends)).select("partition", "offset")
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
+    for _ in range(2):
+        query = later.writeStream.format("parquet").option("path", out)
+        query.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+        messages.filter("offset % 100 >= 6").write.mode("append").parquet(path)
+    assert spark.read.parquet(out).count() == 16
 
 
 def test_group_offsets(spark, messages, tmp_path):
@@ -93,6 +113,21 @@ def test_group_offsets(spark, messages, tmp_path):
     }
 
 
+def test_a_group_can_be_set_back_and_keeps_few_files(spark, tmp_path):
+    path = str(tmp_path / "offsets")
+    for n in range(1, 13):
+        rows = [("t", p, n * 10 + p) for p in range(2)]
+        commit_offsets(spark.createDataFrame(rows, "topic string, partition int, offset bigint"), path, "a/b ü")
+    assert committed_offsets(spark, path, "a/b ü", "t") == {0: 121, 1: 122}
+    reset_offsets(spark, path, "a/b ü", "t", {1: 5})
+    assert committed_offsets(spark, path, "a/b ü", "t") == {0: 121, 1: 5}
+    commit_offsets(spark.createDataFrame([("t", 1, 7)], "topic string, partition int, offset bigint"), path, "a/b ü")
+    assert committed_offsets(spark, path, "a/b ü", "t") == {0: 121, 1: 8}
+    assert len(list((tmp_path / "offsets").rglob("*.parquet"))) <= 2
+    with pytest.raises(ValueError, match="needs a name"):
+        reset_offsets(spark, path, "", "t", {0: 1})
+
+
 def test_start_filters_reach_the_scan(spark, messages, tmp_path):
     path = str(tmp_path / "topic")
     messages.write.parquet(path)
@@ -145,6 +180,14 @@ def test_topics_and_properties():
         {"bootstrap.servers": "h:9092", "zookeeper.connect": "h:2181", "group.id": "g"}
     )
     assert options == {"kafka.bootstrap.servers": "h:9092", "groupIdPrefix": "g"}
+    client = {
+        "key.serializer": "x", "value.serializer": "x", "key.deserializer": "x", "value.deserializer": "x",
+        "enable.auto.commit": "false", "acks": "all", "group.id": "g",
+    }
+    assert kafka_options(client, writing=True) == {"kafka.acks": "all"}
+    for key in ("enable.auto.commit", "auto.offset.reset", "interceptor.classes"):
+        with pytest.raises(ValueError, match=f"property {key}"):
+            kafka_options({key: "true"})
 
 
 def test_starting_offsets_option():
@@ -173,11 +216,11 @@ def test_tables_need_envelopes(spark):
 
 
 def test_json_messages(spark):
-    values = ['{"id":1,"name":"a","age":32,"address":{"nation":"china"}}', '{"id":2,"more":[1]}']
+    values = ['{"id":1,"name":"a","count":3,"labels":{"colour":"red"}}', '{"id":2,"more":[1]}']
     df = spark.createDataFrame([(v.encode(),) for v in values], "value binary")
-    schema = {"id": "LONG", "name": "STRING", "age": "INT", "address": "map<string,string>"}
+    schema = {"id": "LONG", "name": "STRING", "count": "INT", "labels": "map<string,string>"}
     rows = json_table(df, schema).collect()
-    assert [tuple(r) for r in rows] == [(1, "a", 32, {"nation": "china"}), (2, None, None, None)]
+    assert [tuple(r) for r in rows] == [(1, "a", 3, {"colour": "red"}), (2, None, None, None)]
     renamed = json_table(df, {"key": "LONG"}, mapping={"key": "id"})
     assert [r.key for r in renamed.collect()] == [1, 2]
 
@@ -187,6 +230,11 @@ def test_json_messages(spark):
     ]
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
         json_table(broken.limit(1), {"id": "LONG"}).collect()
+    for empty in (b"", b" \n\t", b"null"):
+        blank = spark.createDataFrame([(empty,)], "value binary")
+        with pytest.raises(Exception, match="empty JSON message"):
+            json_table(blank, {"id": "LONG"}).collect()
+        assert json_table(blank, {"id": "LONG"}, mode="PERMISSIVE").collect()[0].id is None
     with pytest.raises(Exception, match="null message"):
         json_table(broken.filter("value is null"), {"id": "LONG"}).collect()
     with pytest.raises(ValueError, match="needs a schema"):

@@ -22,7 +22,7 @@ from topictables.sources.topic import (
     start_at,
     table_topic,
 )
-from topictables.streaming.offsets import commit_offsets, committed_offsets
+from topictables.streaming.offsets import commit_offsets, committed_offsets, reset_offsets
 from topictables.streaming.sinks import (
     Sink,
     avro_topic,
@@ -71,6 +71,7 @@ __all__ = [
     "nth",
     "nth_field",
     "register_table",
+    "reset_offsets",
     "routed",
     "start",
     "start_all",

@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.avro import functions as connector
 
 from topictables.functions import avro_arrow
-from topictables.plans.schema import avro_text, avro_type, load_avro, nullable_branch
+from topictables.plans.schema import avro_text, avro_type, load_avro
 
 MODES = ("FAILFAST", "PERMISSIVE")
 
@@ -46,13 +47,32 @@ def record_node(schema: str | dict) -> dict:
     """The resolved record schema, checked for types that no column can have."""
     node = load_avro(schema)
     if isinstance(node, list):
-        node = nullable_branch(node)[2]
+        raise ValueError("an Avro message cannot be a union; name one of its records")
     if node["type"] != "record":
         raise ValueError("an Avro message needs a record schema")
     avro_type(node)
+    _refuse_unsafe(node)
     return node
 
 
+def _refuse_unsafe(node: dict | list) -> None:
+    """Refuse arrays of items that take no bytes, whose number nothing limits, and fixed sizes too
+    small for the precision of their decimals."""
+    if isinstance(node, list):
+        for branch in node:
+            _refuse_unsafe(branch)
+        return
+    if node["type"] == "array" and avro_arrow.takes_no_bytes(node["items"]):
+        raise ValueError("an array of items without bytes cannot be a column")
+    if node["type"] == "fixed" and node.get("logicalType") == "decimal":
+        if 10 ** node["precision"] > 1 << (8 * node["size"] - 1):
+            raise ValueError(f"{node['size']} bytes do not hold {node['precision']} decimal digits")
+    parts = [f["type"] for f in node.get("fields", ())]
+    parts += [node[name] for name in ("items", "values") if name in node]
+    for part in parts:
+        _refuse_unsafe(part)
+
+
 def _schema_text(schema: str | dict) -> str:
     return schema if isinstance(schema, str) else json.dumps(schema)
 
@@ -96,13 +116,14 @@ def from_avro_message(
     def decode(messages: pa.Array) -> pa.Array:
         return avro_arrow.decode(node, messages, permissive)
 
-    # Catalyst moves filters below a deterministic function and would decode twice, once for the
-    # filter and once for the rows it leaves.
-    return decode.asNondeterministic()(value)
+    return decode(value)
 
 
 def to_avro_message(row: Column, schema: str | dict) -> Column:
-    """A struct as one Avro record of the given schema; fields are matched by position."""
+    """A struct as one Avro record of the given schema; fields are matched by position.
+
+    A null struct gives no message.
+    """
     node = record_node(schema)
     if avro_module_loaded():
         # The module matches fields by name; the cast names them by position.
@@ -111,7 +132,11 @@ def to_avro_message(row: Column, schema: str | dict) -> Column:
 
     @F.arrow_udf(T.BinaryType())
     def encode(rows: pa.Array) -> pa.Array:
-        return avro_arrow.encode(node, rows)
+        if not rows.null_count:
+            return avro_arrow.encode(node, rows)
+        present = rows.is_valid().to_numpy(zero_copy_only=False)
+        messages = avro_arrow.encode(node, rows.drop_null())
+        return messages.take(pa.array(np.cumsum(present) - 1, mask=~present))
 
     return encode(row)
 

@@ -109,7 +109,10 @@ class Batch:
             messages.offset : messages.offset + n + 1
         ].astype(np.int64)
         data = messages.buffers()[2]
-        self.data = data if data is not None else pa.py_buffer(b"")
+        data = data if data is not None else pa.py_buffer(b"")
+        # Of a slice, only its own bytes.
+        self.data = data.slice(int(bounds[0]), int(bounds[-1] - bounds[0]))
+        bounds = bounds - bounds[0]
         self.bytes = np.frombuffer(self.data, np.uint8)
         self.start, self.end = bounds[:-1], bounds[1:]
         self._varint_ends = None
@@ -231,7 +234,6 @@ class Batch:
         n, pos = len(pos), pos.copy()
         rows = np.arange(n)
         owners, items = [], []
-        free = node["type"] == "array" and takes_no_bytes(node["items"])
         while len(rows):
             count, at = self.varint(pos[rows], end[rows])
             sized = count < 0
@@ -240,7 +242,7 @@ class Batch:
                 count = np.abs(count)
             # Every item takes a byte at least, so a larger count cannot be right.
             too_many = count > end[rows] - at
-            _refuse((count < 0) | (too_many & (not free)), end[rows], "more items than bytes")
+            _refuse((count < 0) | too_many, end[rows], "more items than bytes")
             pos[rows] = at
             rows, count = rows[count > 0], count[count > 0]
             if len(rows):

@@ -61,12 +61,21 @@ def split_dropping_trailing(text: Column, delimiter: str) -> Column:
 
     Text of delimiters only has no part at all; empty text has one empty part.
     """
+    if any(delimiter.startswith(delimiter[i:]) for i in range(1, len(delimiter))):
+        # Occurrences of such a delimiter can overlap: only a split from the left finds the right ones.
+        return _let(F.split(text, split_pattern(delimiter)), lambda parts: _without_trailing(parts, text))
     stripped = strip_trailing(text, delimiter)
     return F.when(
         (stripped == "") & (text != ""), F.array().cast("array<string>")
     ).otherwise(F.split(stripped, split_pattern(delimiter)))
 
 
+def _without_trailing(parts: Column, text: Column) -> Column:
+    filled = F.array_max(F.transform(parts, lambda part, i: F.when(part != "", i + 1)))
+    last = F.when(text == "", F.lit(1)).otherwise(F.coalesce(filled, F.lit(0)))
+    return F.slice(parts, F.lit(1), last)
+
+
 def _let(value: Column, body) -> Column:
     """Evaluate `value` once and hand it to `body` as a variable."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

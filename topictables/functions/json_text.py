@@ -8,8 +8,16 @@ from pyspark.sql import types as T
 
 
 def from_json_message(value: Column, schema: T.StructType, mode: str = "FAILFAST") -> Column:
-    """The declared fields of a JSON object as a struct; absent fields are null."""
-    return F.from_json(value.cast("string"), schema, {"mode": mode})
+    """The declared fields of a JSON object as a struct; absent fields are null.
+
+    FAILFAST raises on an empty message and on a bare `null`, from which `from_json` makes a row of
+    nulls. As in Spark, text after the object is not looked at.
+    """
+    text = value.cast("string")
+    if mode == "FAILFAST":
+        blank = F.btrim(text, F.lit(" \t\r\n")).isin("", "null")
+        text = F.when(blank, F.raise_error(F.lit("empty JSON message")).cast("string")).otherwise(text)
+    return F.from_json(text, schema, {"mode": mode})
 
 
 def to_json_message(row: Column, keep_nulls: bool = True) -> Column:

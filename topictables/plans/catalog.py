@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from pyspark.sql import DataFrame, SparkSession
 
 from topictables.streaming.sinks import Sink, start, write
@@ -57,19 +59,13 @@ class Catalog:
             raise KeyError(f"no table {self._name}.{name}")
         return self._tables[name]
 
-    def __getattr__(self, name: str) -> DataFrame:
-        try:
-            return self.__dict__["_tables"][name]
-        except KeyError:
-            raise AttributeError(name) from None
-
     def sql(self, text: str) -> DataFrame:
         """The rows of a query over the catalog's tables.
 
         Text that uses `{db.table}` is a format string: other braces in it are doubled.
         """
         if f"{{{self._name}." in text:
-            return self._spark.sql(text, **{self._name: self})
+            return self._spark.sql(text, **{self._name: SimpleNamespace(**self._tables)})
         return self._spark.sql(text)
 
     def create_sink(self, name: str, sink: Sink) -> None:

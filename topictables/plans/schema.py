@@ -199,9 +199,7 @@ def is_nullable(node) -> bool:
 def avro_schema(schema: str | dict | list) -> T.StructType:
     """The table schema of an Avro record schema, fields in schema order."""
     resolved = load_avro(schema)
-    if isinstance(resolved, list):
-        resolved = nullable_branch(resolved)[2]
-    if resolved["type"] != "record":
+    if isinstance(resolved, list) or resolved["type"] != "record":
         raise ValueError("a table needs an Avro record schema")
     return avro_type(resolved)
 

@@ -33,19 +33,29 @@ def avro_table(
     schema: object = None,
     mapping: Mapping[str, str] | None = None,
     *,
+    columns: Sequence[str] | None = None,
     mode: str = "FAILFAST",
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Messages of one Avro record each.
 
-    Without `schema` the table has the record's fields. Only fields behind declared columns are
-    built from the bytes.
+    Without `schema` the table has the record's fields, or those named in `columns`. Only fields
+    behind the table's columns are built from the bytes, so name those that a query uses.
     """
     declared = table_schema(schema) if schema is not None else None
     fields = avro_schema(record)
+    if columns is not None:
+        if declared is not None:
+            raise ValueError("give either a schema or the columns of the record")
+        unknown = set(columns) - set(fields.names)
+        if unknown:
+            raise ValueError(f"the record has no field {', '.join(sorted(unknown))}")
+        declared = T.StructType([fields[name] for name in columns])
     wanted = source_fields(declared, fields, mapping)
     decoded = from_avro_message(_value(mode), record, wanted, mode)
-    rows = messages.select(*keep, decoded.alias("_record"))
+    # Exploding one array keeps filters on decoded columns above the decoder, which would otherwise
+    # run twice; filters on envelope columns still pass below it.
+    rows = messages.select(*keep, F.explode(F.array(decoded)).alias("_record"))
     return rows.select(*keep, *table_columns(declared, fields, mapping, F.col("_record")))
 
 

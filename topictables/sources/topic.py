@@ -45,6 +45,8 @@ class Start:
 
     otherwise: str = EARLIEST
     offsets: Mapping[int, int] = field(default_factory=dict)
+    #: The offsets are the ends of all partitions that had messages; others had none.
+    ends: bool = False
 
 
 def check_topic(topic: str, properties: Mapping[str, str] | None = None) -> None:
@@ -67,7 +69,7 @@ def start_at(
 
     `specific-offsets` and `group-offsets` take the first offset to read per partition; partitions
     without one start at `otherwise`, the earliest offset unless told. `latest-offset` over a
-    bounded table takes the end offsets that count as "now".
+    table or stream of envelopes takes the end offsets that count as "now" (see `end_offsets`).
     """
     if mode not in START_MODES:
         raise ValueError(f"start mode must be one of {START_MODES}, not {mode!r}")
@@ -84,7 +86,7 @@ def start_at(
             if not isinstance(number, int) or isinstance(number, bool) or number < 0:
                 raise ValueError(f"partition and offset must be integers >= 0, not {number!r}")
     if mode == LATEST:
-        return Start(LATEST, dict(offsets or {}))
+        return Start(LATEST, dict(offsets or {}), offsets is not None)
     return Start(otherwise or EARLIEST, dict(offsets or {}))
 
 
@@ -100,11 +102,16 @@ def end_offsets(messages: DataFrame) -> dict[int, int]:
 def from_start(messages: DataFrame, start: Start) -> DataFrame:
     """The messages at or after the start position, for a table or stream of envelopes.
 
-    Partitions that start at the latest offset without a known end have no messages yet.
+    With end offsets, partitions that are not among them had no messages and are read from their
+    first one. Without, a bounded table has nothing after its latest offset, and a stream is
+    refused: which of its messages come later cannot be told from the messages.
     """
+    if messages.isStreaming and start.otherwise == LATEST and not start.ends:
+        raise ValueError("a stream of messages needs the end offsets to start at the latest offset")
+    from_first = start.otherwise == EARLIEST or start.ends
     if not start.offsets:
-        return messages if start.otherwise == EARLIEST else messages.filter(F.lit(False))
-    open_from = 0 if start.otherwise == EARLIEST else None
+        return messages if from_first else messages.filter(F.lit(False))
+    open_from = 0 if from_first else None
     floor = min([*start.offsets.values(), *([0] if open_from == 0 else [])])
     kept = messages.filter(F.col("offset") >= floor) if floor else messages
     if open_from is None:
@@ -139,16 +146,38 @@ def table_topic(messages: DataFrame, topic: str, start: Start | None = None) ->
     )
 
 
-def kafka_options(properties: Mapping[str, str]) -> dict[str, str]:
+# Client properties with no meaning for the connector, which reads and writes bytes.
+DROPPED_PROPERTIES = (
+    "zookeeper.connect",
+    "key.serializer",
+    "value.serializer",
+    "key.deserializer",
+    "value.deserializer",
+)
+# Client properties that the connector refuses, and what to use in their place.
+REFUSED_PROPERTIES = {
+    "auto.offset.reset": "choose the start with start_at",
+    "enable.auto.commit": "commit with commit_offsets",
+    "interceptor.classes": "the connector cannot run interceptors",
+}
+
+
+def kafka_options(properties: Mapping[str, str], writing: bool = False) -> dict[str, str]:
     """Consumer or producer properties as connector options.
 
-    The connector keeps its own positions, so a group id becomes a prefix of its group names.
+    The connector keeps its own positions, so a group id becomes a prefix of its group names; for a
+    writer it means nothing.
     """
     options = {}
     for key, value in properties.items():
+        if key in REFUSED_PROPERTIES and (key, value) != ("enable.auto.commit", "false"):
+            raise ValueError(f"property {key} cannot be used: {REFUSED_PROPERTIES[key]}")
+        if key in DROPPED_PROPERTIES or key in REFUSED_PROPERTIES:
+            continue
         if key == "group.id":
-            options["groupIdPrefix"] = value
-        elif key != "zookeeper.connect":
+            if not writing:
+                options["groupIdPrefix"] = value
+        else:
             options[f"kafka.{key}"] = value
     return options
 

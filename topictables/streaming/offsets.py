@@ -1,34 +1,36 @@
 """Offsets a consumer group has read, kept as a table.
 
 Spark queries restart from their own checkpoint. This table is for what a group id does beyond
-that: a new query, batch or stream, that goes on where the group stopped. Commits only add rows, so
-a commit repeated after a failure changes nothing.
+that: a new query, batch or stream, that goes on where the group stopped. Each commit writes the
+group's whole state, one row per topic partition, as a new version and drops all but the one before,
+so the files stay few. One writer per group at a time; a commit repeated after a failure changes
+nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from collections.abc import Mapping
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-COMMITTED = "group string, topic string, partition int, offset bigint"
+STATE = "topic string, partition int, offset bigint"
+KEPT_VERSIONS = 2
 
 
 def commit_offsets(messages: DataFrame, path: str, group: str) -> None:
-    """Record that `group` has read these messages.
+    """Record that `group` has read these messages. A commit never moves the group back."""
+    read = messages.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("offset"))
+    _write(messages.sparkSession, path, group, read, F.max("offset"))
 
-    Aggregated before the shuffle; one row per topic partition is written.
-    """
-    if not group:
-        raise ValueError("a consumer group needs a name")
-    (
-        messages.groupBy("topic", "partition")
-        .agg((F.max("offset") + 1).alias("offset"))
-        .select(F.lit(group).alias("group"), "topic", "partition", "offset")
-        .coalesce(1)
-        .write.mode("append")
-        .parquet(path)
-    )
+
+def reset_offsets(
+    spark: SparkSession, path: str, group: str, topic: str, offsets: Mapping[int, int]
+) -> None:
+    """Set the group's next offset of these partitions, forwards or back."""
+    rows = spark.createDataFrame([(topic, p, o) for p, o in offsets.items()], STATE)
+    _write(spark, path, group, rows, F.max_by("offset", "new"))
 
 
 def committed_offsets(spark: SparkSession, path: str, group: str, topic: str) -> dict[int, int]:
@@ -36,15 +38,47 @@ def committed_offsets(spark: SparkSession, path: str, group: str, topic: str) ->
 
     One row per topic partition comes to the driver.
     """
-    try:
-        commits = spark.read.schema(COMMITTED).parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() == "PATH_NOT_FOUND":
-            return {}
-        raise
-    latest = (
-        commits.filter((F.col("group") == group) & (F.col("topic") == topic))
-        .groupBy("partition")
-        .agg(F.max("offset").alias("offset"))
+    folder, versions = _versions(spark, path, group)
+    if not versions:
+        return {}
+    state = spark.read.schema(STATE).parquet(f"{folder}/version={versions[-1]}")
+    rows = state.filter(F.col("topic") == topic)
+    return {row.partition: row.offset for row in rows.toLocalIterator()}
+
+
+def _write(spark: SparkSession, path: str, group: str, rows: DataFrame, merged) -> None:
+    if not group:
+        raise ValueError("a consumer group needs a name")
+    folder, versions = _versions(spark, path, group)
+    state = rows.select("topic", "partition", "offset", F.lit(1).alias("new"))
+    if versions:
+        before = spark.read.schema(STATE).parquet(f"{folder}/version={versions[-1]}")
+        state = state.unionByName(before.withColumn("new", F.lit(0)))
+    number = versions[-1] + 1 if versions else 0
+    # The rows are few once they are merged, and only then brought into one file.
+    (
+        state.groupBy("topic", "partition")
+        .agg(merged.alias("offset"))
+        .repartition(1)
+        .write.mode("overwrite")
+        .parquet(f"{folder}/version={number}")
     )
-    return {row.partition: row.offset for row in latest.toLocalIterator()}
+    files = _file_system(spark, folder)
+    for old in versions[: max(0, len(versions) + 1 - KEPT_VERSIONS)]:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/version={old}"), True)
+
+
+def _versions(spark: SparkSession, path: str, group: str) -> tuple[str, list[int]]:
+    """The group's folder and its versions that were written to the end, in order."""
+    folder = f"{path}/group={quote(group, safe='')}"
+    files, hadoop = _file_system(spark, folder), spark._jvm.org.apache.hadoop.fs
+    if not files.exists(hadoop.Path(folder)):
+        return folder, []
+    names = [status.getPath().getName() for status in files.listStatus(hadoop.Path(folder))]
+    numbers = sorted(int(n.partition("=")[2]) for n in names if n.startswith("version="))
+    return folder, [n for n in numbers if files.exists(hadoop.Path(f"{folder}/version={n}/_SUCCESS"))]
+
+
+def _file_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration())

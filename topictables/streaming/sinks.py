@@ -21,8 +21,6 @@ from topictables.plans.schema import avro_schema, table_schema
 from topictables.sources.topic import check_topic, kafka_options
 
 
-
-
 @dataclass(frozen=True)
 class Sink:
     """Where rows go (`format`, `options`), their schema if declared, and how they become messages."""
@@ -64,7 +62,7 @@ def _target(topic: str, properties: Mapping[str, str] | None, path: str | None):
     check_topic(topic, properties)
     if (properties is None) == (path is None):
         raise ValueError("a topic sink needs either producer properties or a path")
-    return ("parquet", {"path": path}) if path else ("kafka", kafka_options(properties))
+    return ("parquet", {"path": path}) if path else ("kafka", kafka_options(properties, writing=True))
 
 
 def avro_topic(
@@ -108,9 +106,21 @@ def json_topic(
     return Sink(kind, options, declared, topic, to_json_message, partition)
 
 
-def console(rows: int = 20) -> Sink:
-    """Print rows (K5)."""
-    return Sink("console", {"numRows": str(rows), "truncate": "false"})
+def console() -> Sink:
+    """Print every row, its values separated by commas, where it is computed (K5).
+
+    On a cluster that is the executors' output; nothing is brought to the driver.
+    """
+    return Sink("console")
+
+
+def _print_row(row) -> None:
+    print(*("null" if value is None else value for value in row), sep=",", flush=True)
+
+
+def _print_rows(rows) -> None:
+    for row in rows:
+        _print_row(row)
 
 
 def files(path: str, schema: object = None, format: str = "parquet") -> Sink:
@@ -123,7 +133,7 @@ def write(df: DataFrame, sink: Sink) -> None:
     """Append a bounded query's rows to a sink."""
     rows = sink.rows(df)
     if sink.format == "console":
-        rows.show(int(sink.options["numRows"]), truncate=False)
+        rows.foreachPartition(_print_rows)
     else:
         rows.write.format(sink.format).options(**sink.options).mode("append").save()
 
@@ -141,7 +151,11 @@ def start(
 
     `available_now` stops after the messages that are there; otherwise the stream never ends (T4).
     """
-    writer = sink.rows(df).writeStream.format(sink.format).options(**sink.options)
+    writer = sink.rows(df).writeStream
+    if sink.format == "console":
+        writer = writer.foreach(_print_row)
+    else:
+        writer = writer.format(sink.format).options(**sink.options)
     return _started(writer.outputMode("append"), checkpoint, available_now, every, name)
 
 
@@ -172,9 +186,12 @@ def start_all(
 ) -> StreamingQuery:
     """One stream into several sinks, each behind its own query on the same rows (K7, K8).
 
-    Every micro-batch is decoded once and kept for its outputs. After a failure Spark repeats the
-    last batch: file outputs overwrite the directory named by its id, Kafka outputs may repeat
-    messages. `after_batch` runs once the outputs are written, for example to commit offsets.
+    Every micro-batch is decoded once and, if there are several outputs, kept for them; over a
+    large topic set the source's `maxOffsetsPerTrigger`. After a failure Spark repeats the last
+    batch: file outputs overwrite the directory named by the ids of the query and the batch, Kafka
+    outputs may repeat messages. The query's id comes from its checkpoint, so queries with other
+    checkpoints add to the same path. `after_batch` runs once the outputs are written, for example
+    to commit offsets.
     """
     if not outputs:
         raise ValueError("name at least one output")
@@ -182,14 +199,17 @@ def start_all(
         sink.rows(query(df) if query else df)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        kept = len(outputs) + bool(after_batch) > 1
+        if kept:
+            batch.persist()
         try:
             for query, sink in outputs:
                 _write_batch(query(batch) if query else batch, sink, batch_id)
             if after_batch:
                 after_batch(batch, batch_id)
         finally:
-            batch.unpersist()
+            if kept:
+                batch.unpersist()
 
     writer = df.writeStream.foreachBatch(write_batch)
     return _started(writer, checkpoint, available_now, every, name)
@@ -198,7 +218,9 @@ def start_all(
 def _write_batch(df: DataFrame, sink: Sink, batch_id: int) -> None:
     if "path" not in sink.options:
         return write(df, sink)
-    options = dict(sink.options, path=f"{sink.options['path']}/batch={batch_id}")
+    query_id = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    folder = f"query={query_id}/batch={batch_id}"
+    options = dict(sink.options, path=f"{sink.options['path']}/{folder}")
     sink.rows(df).write.format(sink.format).options(**options).mode("overwrite").save()
 
 
@@ -211,19 +233,24 @@ def routed(
     gives one message per route it meets; the `topic` column says where it goes. Nothing is kept
     between outputs, so this is the cheaper form of `start_all` where all outputs are topics.
     """
-    messages = []
-    for condition, columns, sink in routes:
+    wanted, values, partitions = [], [], []
+    route = F.col("_route")
+    for number, (condition, columns, sink) in enumerate(routes):
         if sink.encode is None:
             raise ValueError("only topic sinks can be routed to")
         columns = [F.col(c) if isinstance(c, str) else c for c in columns]
         if sink.schema is not None:
             columns = conform(df.select(*columns), sink.schema)
+        tag = F.lit(number)
+        wanted.append(tag if condition is None else F.when(condition, tag))
+        # Rows of other routes are null here: they are neither checked nor encoded.
+        values.append(sink.encode(F.when(route == number, F.struct(*columns))))
         partition = F.lit(None) if sink.partition is None else sink.partition
-        message = F.struct(
-            F.lit(sink.topic).alias("topic"),
-            sink.encode(F.struct(*columns)).alias("value"),
-            partition.cast("int").alias("partition"),
-        )
-        messages.append(message if condition is None else F.when(condition, message))
-    sent = F.filter(F.array(*messages), lambda message: message.isNotNull())
-    return df.select(F.explode(sent).alias("message")).select("message.*")
+        partitions.append(F.when(route == number, partition.cast("int")))
+    tags = F.filter(F.array(*wanted), lambda tag: tag.isNotNull())
+    topics = F.array(*[F.lit(sink.topic) for _, _, sink in routes])
+    return df.select("*", F.explode(tags).alias("_route")).select(
+        F.get(topics, route).alias("topic"),
+        F.coalesce(*values).alias("value"),
+        F.coalesce(*partitions).alias("partition"),
+    )
