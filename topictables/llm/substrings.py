@@ -171,6 +171,7 @@ def _distinct(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     kept = texts.groupBy("key").agg(first).select("key", "first.no_id", "first.id", "first.z")
     kept.write.bucketBy(partitions(spark), "key").option("path", shared_folder(spark)).option("compression", "none").saveAsTable(name)
     found = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name is only needed to say that there are buckets; the files stay
     return found
 
 
