@@ -170,7 +170,9 @@ def near_duplicates(df: DataFrame, id_column: str = "vec_id", vector_column: str
     named = distinct.join(links, "node", "left").join(roots, "node", "left").select("label", "vector", "least", "copies", "links", F.coalesce("root", "node").alias("root"))
     smallest = named.groupBy("root").agg(F.min("least").alias("component"))
     known = named.join(smallest, "root").select("label", "vector", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component")
-    rows = packed.join(known, ["label", "vector"], "left")
+    # Seven bytes are no vector: a null would send all rows that link with nothing to one task.
+    spread_out = F.coalesce("vector", F.substring(F.md5(F.coalesce(F.col("id").cast("string"), F.lit(""))), 1, 7).cast("binary"))
+    rows = packed.withColumn("vector", spread_out).join(known, ["label", "vector"], "left")
     component = F.coalesce("component", "id")
     return rows.select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
 
