@@ -47,8 +47,10 @@ def write(pages: DataFrame, path: str, id_column: str = "page_id", url_column: s
     payload = F.coalesce(F.col(payload_column), F.lit(""))
     rows = pages.select(F.col(id_column).cast("string").alias("id"), F.col(id_column).alias("key"), F.regexp_replace(url_column, r"[\r\n]+", " ").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256)).withColumn("bytes", F.octet_length("payload"))
-    firsts = rows.where(F.col("bytes") >= LEAST_BYTES).groupBy("digest").agg(F.min("key").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
-    decided = rows.join(firsts, "digest", "left").withColumn("revisit", F.coalesce(~F.col("key").eqNullSafe(F.col("first")) & F.col("first").isNotNull(), F.lit(False)))
+    # Small payloads meet nothing, so they need not meet each other either.
+    rows = rows.withColumn("meet", F.when(F.col("bytes") >= LEAST_BYTES, F.col("digest")).otherwise(F.concat_ws("-", "id", F.substring("digest", 1, 8))))
+    firsts = rows.where(F.col("bytes") >= LEAST_BYTES).groupBy(F.col("digest").alias("meet")).agg(F.min("key").alias("first"), F.count("*").alias("n")).where("n > 1").select("meet", "first")
+    decided = rows.join(firsts, "meet", "left").withColumn("revisit", F.coalesce(~F.col("key").eqNullSafe(F.col("first")) & F.col("first").isNotNull(), F.lit(False)))
 
     def name(kind: str, of: Column) -> Column:
         return F.concat(F.lit("<urn:capture:"), F.coalesce(of.cast("string"), F.lit("")), F.lit(":"), F.substring("digest", 1, 16), F.lit(f":{kind}>"))
