@@ -345,10 +345,11 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
     def read(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         keys, counts, digests, own = [], [], [], []
-        for text in byte_texts(batch.column(1)):
+        for row, text in enumerate(byte_texts(batch.column(1))):
             words = text.split()
             short = len(words) < WINDOW
-            keys.append(None if short else key_of(words))
+            # A longer key meets nothing; a null would send all short texts to one task of the join.
+            keys.append(key_of(words) + row.to_bytes(4, "little") if short else key_of(words))
             counts.append(len(words))
             digests.append(hashlib.sha256(b" ".join(words)).hexdigest() if short else None)
             own.append(short)
@@ -361,9 +362,10 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     joined = rows.join(cleaned, "key", "left")
     first = F.col(f"row.{id_column}").eqNullSafe(F.col("first_id"))
     empty = F.lit(hashlib.sha256(b"").hexdigest())
-    removed = F.when(F.col("key").isNull(), 0).when(first, F.col("n_removed")).otherwise(F.col("n_words"))
-    digest = F.when(F.col("key").isNull(), F.col("short_sha")).when(first, F.col("sha256")).otherwise(empty)
-    found = joined.select("row", "n_words", removed.cast("long").alias("n_removed"), digest.alias("kept_sha256"), F.when(first, F.col("kept")).alias("kept"), "short_text", F.col("key").isNull().alias("short"))
+    short = F.col("short_sha").isNotNull()
+    removed = F.when(short, 0).when(first, F.col("n_removed")).otherwise(F.col("n_words"))
+    digest = F.when(short, F.col("short_sha")).when(first, F.col("sha256")).otherwise(empty)
+    found = joined.select("row", "n_words", removed.cast("long").alias("n_removed"), digest.alias("kept_sha256"), F.when(first, F.col("kept")).alias("kept"), "short_text", short.alias("short"))
     if not with_text:
         return found.select("row", "n_words", "n_removed", "kept_sha256", F.lit(None).cast("string").alias("kept_text"))
 
