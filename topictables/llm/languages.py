@@ -29,12 +29,25 @@ UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 
 
-def grams(word: str) -> np.ndarray:
-    """Buckets of the n-grams of a word."""
-    import xxhash
-
-    marked = f"<{word}>"
-    return np.array([xxhash.xxh32_intdigest(f"{n}{marked[i : i + n]}") % BUCKETS for n in GRAMS for i in range(len(marked) - n + 1)], np.int32)
+def grams(some: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Where each word begins in the letters of all of them, ends marked; and for each length of n-gram
+    the bucket of the one that begins at each letter, BUCKETS where the word ends before it."""
+    marked = [f"<{w}>" for w in some]
+    lengths = np.fromiter(map(len, marked), np.int64, len(marked))
+    letters = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    starts = np.cumsum(lengths) - lengths
+    left = np.repeat(starts + lengths, lengths) - np.arange(len(letters))
+    found = []
+    for n in GRAMS:
+        total = np.full(len(letters), n, np.uint64)
+        for j in range(n):
+            total[: len(letters) - j] += letters[j:]
+            total *= np.uint64(0x9E3779B97F4A7C15)
+            total ^= total >> np.uint64(29)
+        bucket = (total % np.uint64(BUCKETS)).astype(np.int32)
+        bucket[left < n] = BUCKETS
+        found.append(bucket)
+    return starts, found
 
 
 def words(text: str | None) -> list[str]:
@@ -58,14 +71,20 @@ class Mixture:
 
     def lookup(self, some: list[str]) -> np.ndarray:
         """Likelihood of each word in each language, with the best of them at 1."""
-        if self.likelihoods is None or len(self.rows) + len(some) > self.LIMIT:
-            self.rows, self.likelihoods = {}, np.zeros((max(self.LIMIT, len(some)), len(self.languages)), np.float32)
-        for word in some:
-            if word not in self.rows:
-                logs = self.logs[:, grams(word)].sum(1)
-                self.likelihoods[len(self.rows)] = np.exp(logs - logs.max())
-                self.rows[word] = len(self.rows)
-        return self.likelihoods[np.fromiter((self.rows[w] for w in some), np.int64, len(some))].astype(float)
+        new = [w for w in dict.fromkeys(some) if w not in self.rows]
+        if self.likelihoods is None or len(self.rows) + len(new) > self.LIMIT:
+            new = list(dict.fromkeys(some))
+            self.rows, self.likelihoods = {}, np.zeros((max(self.LIMIT, len(new)), len(self.languages)), np.float32)
+        if new:
+            first = len(self.rows)
+            self.rows.update(zip(new, range(first, first + len(new)), strict=True))
+            starts, found = grams(new)
+            padded = np.hstack([self.logs, np.zeros((len(self.languages), 1))])
+            for lang, logs in enumerate(padded):
+                self.likelihoods[first : first + len(new), lang] = sum(np.add.reduceat(logs[bucket], starts) for bucket in found)
+            part = self.likelihoods[first : first + len(new)]
+            np.exp(part - part.max(1, keepdims=True), out=part)
+        return self.likelihoods[np.fromiter(map(self.rows.__getitem__, some), np.int64, len(some))].astype(float)
 
     def infer(self, text: str | None) -> list[tuple[str, float]]:
         return self.infer_all([text])[0]
@@ -135,8 +154,11 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         totals: dict[str, np.ndarray] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             total = totals.setdefault(lang, np.zeros(BUCKETS, np.int64))
-            for word, times in Counter(words(text)).items():
-                np.add.at(total, grams(word), times)
+            counts = Counter(words(text))
+            if counts:
+                starts, found = grams(list(counts))
+                times = np.repeat(list(counts.values()), np.diff(np.r_[starts, len(found[0])]))
+                total += sum(np.bincount(bucket, times, BUCKETS + 1)[:BUCKETS].astype(np.int64) for bucket in found)
         for lang, total in totals.items():
             some = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some, pa.int32()), pa.array(total[some])], ["lang", "bucket", "n"])
