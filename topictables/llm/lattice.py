@@ -288,7 +288,7 @@ def score(docs: DataFrame, learned: str, id_column: str = "doc_id", text_column:
                         heads.append(None)
                 rows.append(row)
                 names.append(name)
-                words.append(None)
+                words.append(" " + name.hex())  # no word: a null would send all heads to one task of the join
                 counts.append(None)
                 heads.append({"copies": 1, "n_tokens": n, "n_known": n_known, "base": b, "score": s})
             ids = part.column(0).take(pa.array(rows, pa.int64()))
