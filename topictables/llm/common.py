@@ -63,10 +63,21 @@ def each_batch(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.R
     return df.mapInArrow(run, schema)
 
 
+CACHES: list[dict] = []
+
+
+def alone(cache: dict) -> None:
+    """Empty the caches of other operators, which a worker that runs several of them still holds."""
+    for other in [c for c in CACHES if c is not cache]:
+        other.clear()
+    if not any(c is cache for c in CACHES):
+        CACHES.append(cache)
+
+
 class Vocabulary(dict):
     """Word -> 64-bit hash, kept between batches of a worker and emptied when it has grown large."""
 
-    LIMIT = 1_000_000
+    LIMIT = 500_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
@@ -81,6 +92,7 @@ HASHES = Vocabulary()
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
+    alone(HASHES)
     return np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topictables.llm.common import each_batch, table
+from topictables.llm.common import alone, each_batch, table
 
 #: Seeds: 1 is a token that must agree, 0 a token that may differ. All span SPAN tokens.
 MASKS = ("11101011", "11010111", "10111101", "11100111")
@@ -24,7 +24,7 @@ WORD = re.compile(r"[^\W_]+")
 
 
 class WordHashes(dict):
-    LIMIT = 1_000_000
+    LIMIT = 500_000
 
     def __missing__(self, word: str) -> int:
         import xxhash
@@ -45,6 +45,7 @@ def tokens(text: str | None) -> list[str]:
 
 def hashed(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Token hashes of all texts one after another, and where each text begins and ends."""
+    alone(HASHES)
     lists = [tokens(t) for t in texts]
     ends = np.cumsum([0, *map(len, lists)])
     return np.fromiter((HASHES[w] for words in lists for w in words), np.uint64, ends[-1]), ends

@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topictables.llm.common import table
+from topictables.llm.common import alone, table
 
 #: Limits of a sequence: tokens, segments (pieces of documents) and tokens that bear loss.
 TOKENS, SEGMENTS, LOSS = 4096, 256, 4096
@@ -145,7 +145,7 @@ class WordIds(dict):
     which are encoded many at a time; where one ends shows in the tokens' end-of-word mark.
     """
 
-    LIMIT = 1_500_000
+    LIMIT = 1_200_000
     #: An apostrophe before letters may belong to them, and a bar to a special token; such words are left whole.
     PLAIN = re.compile(rb"([!-&(-/:-@\[-`{}~]*)((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:-@\[-`{}~]*)")
 
@@ -190,6 +190,7 @@ class WordIds(dict):
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of whole texts, each as little-endian unsigned 32-bit numbers."""
+        alone(self)
         split = [(t or "").encode().split() for t in texts]
         self.learn(set().union(*split))
         return [b"".join(map(self.__getitem__, words)) for words in split]

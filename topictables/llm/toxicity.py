@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topictables.llm.common import each_batch, remainder, table
+from topictables.llm.common import alone, each_batch, remainder, table
 
 #: About so many labelled rows are fitted on at most; they are taken by the hash of their id.
 SAMPLE = 12_000
@@ -49,6 +49,7 @@ TERMS = Terms()
 
 def terms(text: str | None) -> np.ndarray:
     """Sorted distinct 32-bit hashes of the words of a text and of their first 4 and 5 letters."""
+    alone(TERMS)
     chunks = set((text or "").lower().split())
     return np.unique(np.fromiter((t for c in chunks for t in TERMS[c]), np.uint32))
 
