@@ -59,3 +59,32 @@ def test_scores_do_not_depend_on_the_order_of_rows(spark):
     one = toxicity.train(docs.repartition(4), labels)
     two = toxicity.train(docs.repartition(2, "text"), labels.repartition(3))
     assert np.array_equal(one.weights, two.weights) and np.array_equal(one.factors, two.factors)
+
+
+def neutral(n, seed):
+    """An eighth of the rows is toxic. `folk` is in a tenth of the rows, with that same share; `vermin` in
+    a fortieth. Where they meet a row is toxic by nothing else, elsewhere by an insult."""
+    rng = random.Random(seed)
+    plain = [f"plain{i}" for i in range(300)]
+    rows = []
+    for i in range(n):
+        words = rng.choices(plain, k=rng.randint(3, 40))
+        group, other = i % 10 == 0, i % 80 in (10, 33)
+        both = group and other
+        insult = not both and (i % 400 == 20 if group else rng.random() < 0.125)
+        words += ["folk"] * group + ["vermin"] * other + ["rotter"] * insult
+        rng.shuffle(words)
+        rows.append((" ".join(words), int(both or insult), both))
+    return rows
+
+
+def test_learns_a_pair_whose_group_word_is_neutral_alone():
+    known, held_out = neutral(4000, 1), neutral(4000, 2)
+    y = np.array([y for _, y, _ in known])
+    group = np.array(["folk" in t for t, _, _ in known])
+    assert abs(y[group].mean() - y.mean()) < 0.04
+    machine = toxicity.fit([toxicity.terms(t) for t, _, _ in known], y)
+    predicted = machine.score([t for t, _, _ in held_out]) >= toxicity.TOXIC
+    both = np.array([b for _, _, b in held_out])
+    assert predicted[both].mean() >= 0.9
+    assert (predicted != [y for _, y, _ in held_out]).mean() <= 0.01

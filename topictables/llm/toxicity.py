@@ -19,7 +19,13 @@ SAMPLE = 12_000
 #: A term becomes a feature if it occurs in so many rows of the sample, and so many standard deviations
 #: more or less often in toxic ones than by chance; of more than MOST such terms the strongest are taken.
 LEAST_ROWS, DEVIATIONS, MOST = 2, 3.5, 50_000
-FACTORS, STEPS = 8, 300
+#: Pairs are looked for among these and the terms in so many rows of the sample and such a share of it,
+#: the most frequent PAIRABLE of both at most. A pair counts if chance gives as much among all pairs that are
+#: looked at with probability CHANCE at most; of more than MOST_PAIRED terms in such pairs the strongest are taken.
+FREQUENT_ROWS, FREQUENT_SHARE, PAIRABLE, CHANCE, MOST_PAIRED = 5, 0.01, 8192, 0.05, 2000
+#: Terms of which the pairs are counted at a time.
+PAIR_BLOCK = 1024
+FACTORS, STEPS, PAIR_DECAY = 8, 300, 1e-4
 #: From this score on a text counts as toxic.
 TOXIC = 0.7
 
@@ -56,7 +62,8 @@ def terms(text: str | None) -> np.ndarray:
 
 @dataclass
 class Machine:
-    """score = sigmoid(bias + sum of w[i] x[i] + sum over pairs of <v[i], v[j]> x[i] x[j])."""
+    """score = sigmoid(bias + sum of w[i] x[i] + sum over pairs of <v[i], v[j]>) over the terms of a text,
+    where x is the value of a term."""
 
     names: np.ndarray
     values: np.ndarray
@@ -65,7 +72,7 @@ class Machine:
     factors: np.ndarray
 
     def logits(self, rows: np.ndarray, columns: np.ndarray, x: np.ndarray, n: int) -> np.ndarray:
-        return machine_logits(self.bias, self.weights, self.factors, rows, columns, x, n)[0]
+        return machine_logits(self.bias, self.weights, self.factors, rows, columns, x, n, np.ones(len(x)))[0]
 
     def score(self, texts: list[str | None]) -> np.ndarray:
         """Probabilities of whole texts; those without a known term, empty ones too, share the bias."""
@@ -85,9 +92,10 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def machine_logits(bias, weights, factors, rows, columns, x, n):
-    """Logits of n rows in sparse form, and the sums that the gradient needs."""
-    parts = factors[columns] * x[:, None]
+def machine_logits(bias, weights, factors, rows, columns, x, n, present=None):
+    """Logits of n rows in sparse form, and the sums that the gradient needs. The pairwise sum takes
+    `present` for x where it is given."""
+    parts = factors[columns] * (x if present is None else present)[:, None]
     sums = np.zeros((n, factors.shape[1]))
     squares = np.zeros(n)
     np.add.at(sums, rows, parts)
@@ -111,17 +119,79 @@ def term_values(found: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.
     return names[strong], np.clip(value[strong], -3, 3)
 
 
+def pair_terms(found: list[np.ndarray], y: np.ndarray, expected: np.ndarray, strong: np.ndarray) -> np.ndarray:
+    """The terms of the pairs that are toxic together more or less often than these expected shares of
+    the rows say, however neutral each is alone. By chance, O toxic of N rows where P are expected have at most
+    the probability exp(-O log(O / P) - (N - O) log((N - O) / (N - P))) (Hoeffding's bound), which is held
+    against the number of pairs."""
+    every = np.concatenate(found) if found else np.zeros(0, np.uint32)
+    names, counts = np.unique(every, return_counts=True)
+    able = np.flatnonzero((counts >= max(FREQUENT_ROWS, FREQUENT_SHARE * len(y))) | np.isin(names, strong) & (counts >= FREQUENT_ROWS))
+    able = np.sort(able[np.argsort(-counts[able], kind="stable")[:PAIRABLE]])
+    names = names[able]
+    if len(names) < 2:
+        return names[:0]
+    held = np.zeros((len(y), len(names)), bool)
+    for i, f in enumerate(found):
+        held[i, np.intersect1d(names, f, assume_unique=True, return_indices=True)[1]] = True
+    bound = np.log(len(names) * (len(names) - 1) / 2 / CHANCE)
+    strength = np.zeros(len(names))
+    toxic = held[y == 1]
+    chance = expected.astype(np.float32)[:, None]
+    part = lambda rows, a: rows[:, a : a + PAIR_BLOCK].astype(np.float32)
+    for a in range(0, len(names), PAIR_BLOCK):
+        left, left_toxic = part(held, a), part(toxic, a)
+        likely = left * chance
+        for b in range(a, len(names), PAIR_BLOCK):
+            right = part(held, b)
+            n, o = left.T @ right, left_toxic.T @ part(toxic, b)
+            p = np.clip(likely.T @ right, 1e-6, np.maximum(n - 1e-6, 1e-6))
+            clean, unlikely = n - o, np.maximum(n - p, 1e-6)
+            against = o * np.log(np.maximum(o, 1e-6) / p) + clean * np.log(np.maximum(clean, 1e-6) / unlikely)
+            if a == b:
+                np.fill_diagonal(against, 0)
+            for start, axis in ((a, 1), (b, 0)):
+                most = against.max(axis)
+                strength[start : start + len(most)] = np.maximum(strength[start : start + len(most)], most)
+    paired = np.flatnonzero(strength >= bound)
+    return np.sort(names[paired[np.argsort(-strength[paired], kind="stable")[:MOST_PAIRED]]])
+
+
+def descend(y: np.ndarray, bias: float, n: int, rows: np.ndarray, columns: np.ndarray, x: np.ndarray, present: np.ndarray | None) -> list[np.ndarray]:
+    """(bias, weights, factors) of n terms after STEPS steps; without `present` the factors are zero."""
+    start = np.zeros((n, FACTORS)) if present is None else np.random.default_rng(7).normal(0, 0.02, (n, FACTORS))
+    values_of = [np.array([bias]), np.zeros(n), start]
+    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in values_of]
+    pairs = np.zeros(0, np.int64) if present is None else np.flatnonzero(present)
+    at, of = rows[pairs], columns[pairs]
+    for step in range(1, STEPS + 1):
+        bias, weights, factors = values_of
+        paired, sums, parts = machine_logits(bias[0], weights * 0, factors, at, of, np.ones(len(at)), len(y))
+        error = (sigmoid(paired + np.bincount(rows, weights[columns] * x, len(y))) - y) / len(y)
+        grad_v = np.zeros_like(factors)
+        np.add.at(grad_v, of, error[at][:, None] * (sums[at] - parts))
+        gradients = [np.array([error.sum()]), np.bincount(columns, error[rows] * x, n) + 1e-5 * weights, grad_v + PAIR_DECAY * factors]
+        for p, g, (m, s) in zip(values_of, gradients, moments, strict=True):
+            m *= 0.9
+            m += 0.1 * g
+            s *= 0.999
+            s += 0.001 * g**2
+            p -= 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.999**step)) + 1e-8)
+    return values_of
+
+
 def fit(found: list[np.ndarray], y: np.ndarray) -> Machine:
     """A machine for rows with these terms and labels 0 or 1. The values of a row's features come
-    from the other half of the rows, so that a term which is rare in both is worth nothing. Without
+    from the other half of the rows, so that a term which is rare in both is worth nothing. Terms that
+    tell only in pairs join them with the value 1, and the pairwise sum is over presence. Without
     rows, or with one label only, every score is the share of toxic rows (0 without rows)."""
     y = np.asarray(y, float)
     names, values = term_values(found, y)
     share = float(np.clip(y.mean() if len(y) else 0, 1e-6, 1 - 1e-6))
-    machine = Machine(names, values, float(np.log(share / (1 - share))), np.zeros(len(names)), np.zeros((len(names), FACTORS)))
-    if not len(names) or not 0 < y.sum() < len(y):
-        return machine
-    rows, columns, x = [], [], []
+    bias = float(np.log(share / (1 - share)))
+    if not 0 < y.sum() < len(y):
+        return Machine(names, values, bias, np.zeros(len(names)), np.zeros((len(names), FACTORS)))
+    rows, columns, x = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
     half = np.random.default_rng(3).permutation(len(y)) % 2
     for side in (0, 1):
         others = np.flatnonzero(half != side)
@@ -133,23 +203,26 @@ def fit(found: list[np.ndarray], y: np.ndarray) -> Machine:
             columns.append(mine[at])
             x.append(worth[theirs[at]])
     rows, columns, x = np.concatenate(rows), np.concatenate(columns).astype(np.int64), np.concatenate(x)
-    values_of = [np.array([machine.bias]), np.zeros(len(names)), np.random.default_rng(7).normal(0, 0.02, (len(names), FACTORS))]
-    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in values_of]
-    for step in range(1, STEPS + 1):
-        bias, weights, factors = values_of
-        logits, sums, parts = machine_logits(bias[0], weights, factors, rows, columns, x, len(y))
-        error = (sigmoid(logits) - y) / len(y)
-        slope = (error[rows] * x)[:, None]
-        grad_v = np.zeros_like(factors)
-        np.add.at(grad_v, columns, slope * (sums[rows] - parts))
-        gradients = [np.array([error.sum()]), np.bincount(columns, slope[:, 0], len(names)) + 1e-5 * weights, grad_v + 1e-5 * factors]
-        for p, g, (m, s) in zip(values_of, gradients, moments, strict=True):
-            m *= 0.9
-            m += 0.1 * g
-            s *= 0.999
-            s += 0.001 * g**2
-            p -= 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.999**step)) + 1e-8)
-    return Machine(names, values, float(values_of[0][0]), values_of[1], values_of[2])
+    alone_bias, alone_weights, none = descend(y, bias, len(names), rows, columns, x, None)
+    expected = sigmoid(machine_logits(alone_bias[0], alone_weights, none, rows, columns, x, len(y))[0])
+    paired = pair_terms(found, y, expected, names)
+    every = np.union1d(names, paired)
+    columns = np.searchsorted(every, names)[columns]
+    present = np.ones(len(x))
+    if len(paired):
+        # A strong term of a pair is present in all its rows, also where the other half gives it no value.
+        valued = np.sort(rows * len(every) + columns)
+        more = [np.searchsorted(every, np.intersect1d(paired, f, assume_unique=True)) for f in found]
+        more_rows, more_columns = np.repeat(np.arange(len(y)), [len(m) for m in more]), np.concatenate(more)
+        new = ~np.isin(more_rows * len(every) + more_columns, valued)
+        more_rows, more_columns = more_rows[new], more_columns[new]
+        rows, columns = np.concatenate([rows, more_rows]), np.concatenate([columns, more_columns])
+        x = np.concatenate([x, (~np.isin(every, names))[more_columns].astype(float)])
+        present = np.ones(len(x))
+    every_value = np.ones(len(every))
+    every_value[np.searchsorted(every, names)] = values
+    final_bias, weights, factors = descend(y, bias, len(every), rows, columns, x, present)
+    return Machine(every, every_value, float(final_bias[0]), weights, factors)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic", sample: int = SAMPLE) -> Machine:
