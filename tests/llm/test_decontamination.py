@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import numpy as np
@@ -74,3 +75,10 @@ def test_empty_tables(spark):
     assert d.overlaps(docs, none).count() == 0
     assert d.without_leaks(docs, none).count() == 1
     assert d.overlaps(docs.limit(0), spark.createDataFrame([(1, "a b c d e f g h i", "x")], ITEMS)).count() == 0
+
+
+def test_seeds_hit_every_stretch():
+    for n in range(d.LEAST_TOKENS, 21):
+        places = [{at + j for j, used in enumerate(mask) if used == "1"} for mask in d.MASKS for at in range(n - d.SPAN + 1)]
+        for replaced in itertools.combinations(range(n), int(n * (1 - d.SIMILARITY) + 1e-9)):
+            assert any(p.isdisjoint(replaced) for p in places), (n, replaced)

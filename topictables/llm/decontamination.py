@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from topictables.llm.common import alone, each_batch, table
 
-#: Seeds: 1 is a token that must agree, 0 a token that may differ. All span SPAN tokens.
-MASKS = ("11101011", "11010111", "10111101", "11100111")
+#: Seeds: 1 is a token that must agree, 0 a token that may differ. All span SPAN tokens. Together they
+#: hit every stretch of 13 to 20 tokens of which SIMILARITY are equal.
+MASKS = ("11101011", "11010111", "10111101", "11100111", "10001111", "11101100")
 SPAN = 8
 #: An overlap counts with so many tokens (or the whole item, if it is shorter) and such a share equal.
 LEAST_TOKENS, SIMILARITY = 13, 0.8
@@ -150,7 +151,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", doc_
     Fixed masks over SPAN tokens give the seeds of items and documents; a common seed fixes how the
     two lie against each other, and along that line the longest stretch with a share of SIMILARITY or
     more equal tokens is taken, so single replaced tokens don't break it. It counts from LEAST_TOKENS
-    tokens on, or as the whole item if that is shorter. Items of fewer than SPAN tokens are too short
+    tokens on, or as the whole item if that is shorter; as a stretch begins and ends with an equal token,
+    an item of LEAST_TOKENS tokens or fewer whose first or last token is replaced is not found, and one
+    of fewer than LEAST_TOKENS tokens with replaced ones may lack a common seed. Items of fewer than SPAN tokens are too short
     to tell a leak and match nothing. Null or empty texts overlap with nothing; null ids are returned
     as null; repeated documents and items are each reported; an empty benchmark gives no rows. Whole
     documents are streamed against the benchmark, in blocks of a fixed size, without a shuffle.
