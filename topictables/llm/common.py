@@ -52,17 +52,22 @@ def byte_texts(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()]
 
 
-def each_batch(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """function on every Arrow batch; it keeps nothing between batches."""
+def each_batch(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str, rows: int | None = None) -> DataFrame:
+    """function on every Arrow batch, or on slices of so many rows of it; it keeps nothing between them,
+    and the caches of a worker are emptied at the end of its task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield from function(batch)
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, rows or max(1, batch.num_rows)):
+                    yield from function(batch.slice(at, rows))
+        finally:
+            empty_caches()
 
     return df.mapInArrow(run, schema)
 
 
+#: Caches of this worker that hold anything.
 CACHES: list[dict] = []
 
 
@@ -74,6 +79,12 @@ def alone(cache: dict) -> None:
         CACHES.append(cache)
 
 
+def empty_caches() -> None:
+    for cache in CACHES:
+        cache.clear()
+    CACHES.clear()
+
+
 class Vocabulary(dict):
     """Word -> 64-bit hash, kept between batches of a worker and emptied when it has grown large."""
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,8 @@ SPAN = 8
 LEAST_TOKENS, SIMILARITY = 13, 0.8
 #: Characters of benchmark text that are compared at a time and broadcast; a larger benchmark takes more passes.
 BLOCK_CHARS = 20_000_000
+#: Pairs of a seed's places in documents and items that are held at a time; documents that are read at a time.
+PAIRS, ROWS = 1_000_000, 500
 
 WORD = re.compile(r"[^\W_]+")
 
@@ -49,7 +52,7 @@ def hashed(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     alone(HASHES)
     lists = [tokens(t) for t in texts]
     ends = np.cumsum([0, *map(len, lists)])
-    return np.fromiter((HASHES[w] for words in lists for w in words), np.uint64, ends[-1]), ends
+    return np.fromiter(map(HASHES.__getitem__, chain.from_iterable(lists)), np.uint64, ends[-1]), ends
 
 
 def seeds(values: np.ndarray, mask: int) -> np.ndarray:
@@ -107,23 +110,33 @@ class Index:
         self.present = np.zeros(1 << self.bits, bool)
         self.present[self.keys >> np.uint64(64 - self.bits)] = True
 
+    def _diagonals(self, at: np.ndarray, rows: np.ndarray, ends: np.ndarray, first: np.ndarray, last: np.ndarray) -> Iterator[np.ndarray]:
+        """The different (row, item, shift) of hits at these places with these ranges of keys, expanded
+        for so many hits at a time that about PAIRS pairs, or those of one hit, are held."""
+        steps = np.cumsum(last - first)
+        for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(steps // PAIRS)) + 1):
+            counts = last[part] - first[part]
+            within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            places = self.places[np.repeat(first[part], counts) + within]
+            items, row = owners(self.ends, places), np.repeat(rows[part], counts)
+            shift = np.repeat(at[part], counts) - ends[row] - places + self.ends[items]
+            yield np.unique(np.stack([row, items, shift], axis=1), axis=0)
+
     def overlaps(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int, int]]:
         """(row, item, row's token, item's token, tokens, equal tokens): of each row and item, the longest
         verified overlap, of several the first."""
         values, ends = hashed(texts)
-        found: set[tuple[int, int, int]] = set()
+        diagonals = [np.zeros((0, 3), np.int64)]
         for mask in range(len(MASKS)):
             key = seeds(values, mask)
-            for at in np.flatnonzero(self.present[key >> np.uint64(64 - self.bits)]):
-                lo, hi = np.searchsorted(self.keys, key[at], "left"), np.searchsorted(self.keys, key[at], "right")
-                if lo < hi:
-                    row = int(owners(ends, at))
-                    if at + SPAN <= ends[row + 1]:
-                        for place in self.places[lo:hi]:
-                            item = int(owners(self.ends, place))
-                            found.add((row, item, int(at - ends[row]) - int(place - self.ends[item])))
+            at = np.flatnonzero(self.present[key >> np.uint64(64 - self.bits)])
+            first, last = np.searchsorted(self.keys, key[at], "left"), np.searchsorted(self.keys, key[at], "right")
+            rows = owners(ends, at)
+            hit = (first < last) & (at + SPAN <= ends[rows + 1])
+            diagonals += self._diagonals(at[hit], rows[hit], ends, first[hit], last[hit])
+        found = np.unique(np.concatenate(diagonals), axis=0)
         best: dict[tuple[int, int], tuple[int, int, int, int]] = {}
-        for row, item, shift in sorted(found):
+        for row, item, shift in found.tolist():
             row_values, item_values = values[ends[row] : ends[row + 1]], self.values[self.ends[item] : self.ends[item + 1]]
             first, last = max(0, -shift), min(len(item_values), len(row_values) - shift)
             equal = row_values[first + shift : last + shift] == item_values[first:last]
@@ -172,13 +185,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", doc_
             if found:
                 yield pa.RecordBatch.from_arrays([ids, items, *rest], ["doc_id", "item_id", "doc_start", "item_start", "n_tokens", "n_equal"])
 
-        part = each_batch(source, compute, schema)
+        part = each_batch(source, compute, schema, ROWS)
         result = part if result is None else result.unionByName(part)
     return result
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The documents, all columns, that overlap with no item."""
+    """The documents, all columns, that overlap with no item. Null and empty texts and null ids stay,
+    repeated rows stay or go together; an empty benchmark leaves every document."""
     at = docs.columns.index(doc_text)
     for index in blocks(benchmark, item_id, item_text, block_chars):
         shared = docs.sparkSession.sparkContext.broadcast(index)
@@ -188,7 +202,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, doc_text: str = "text",
             keep[[f[0] for f in shared.value.overlaps(batch.column(at).to_pylist())]] = False
             yield batch.filter(pa.array(keep))
 
-        docs = each_batch(docs, compute, docs.schema)
+        docs = each_batch(docs, compute, docs.schema, ROWS)
     return docs
 
 
