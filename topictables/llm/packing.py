@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import re
+import string
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -13,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topictables.llm.common import alone, table
+from topictables.llm.common import alone, empty_caches, table
 
 #: Limits of a sequence: tokens, segments (pieces of documents) and tokens that bear loss.
 TOKENS, SEGMENTS, LOSS = 4096, 256, 4096
@@ -137,56 +138,66 @@ class Packer:
 
 
 class WordIds(dict):
-    """ASCII-white-space separated word -> its token ids as bytes, kept between the tasks of a worker.
+    """ASCII-white-space separated word -> its token ids as bytes, kept for a task.
 
     The tokenizer drops white space and never joins across it, so the ids of a text are those of its
     words one after another; it lower-cases, and parts letters from the punctuation around them. So
     words of plain letters, with or without punctuation, share the ids of their lower-case letters,
-    which are encoded many at a time; where one ends shows in the tokens' end-of-word mark.
+    for which its normalizing and splitting change nothing: they go straight to its model.
     """
 
-    LIMIT = 1_200_000
-    #: An apostrophe before letters may belong to them, and a bar to a special token; such words are left whole.
-    PLAIN = re.compile(rb"([!-&(-/:-@\[-`{}~]*)((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:-@\[-`{}~]*)")
+    LIMIT = 600_000
+    #: Punctuation around letters. An apostrophe before letters may belong to them, and a bar to a special token.
+    MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{}~"
+    #: The bytes of the letters A to Z and of Latin-1, and how they become lower-case letters.
+    LETTERS = string.ascii_letters.encode() + bytes([0xC3, *(b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7))])
+    LOWER = bytes(b + 32 if 65 <= b <= 90 or 0x80 <= b <= 0x9E else b for b in range(256))
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-
-    def _one(self, text: str) -> bytes:
+        self.model = self.tokenizer.model
+        # The characters that the model has for the bytes of lower-case letters, where they differ from Latin-1.
+        byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = {bytes([0xC3, self.LOWER[b]]).decode() for b in self.LETTERS if 0x80 <= b < 0xC0}
+        spelled = {c.encode().decode("latin-1")[1]: byte_level.pre_tokenize_str(c)[0][0][1] for c in letters}
+        self.spelling = {a: b for a, b in spelled.items() if a != b}
+
+    def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _letters(self, lower: bytes) -> bytes:
+        text = lower.decode("latin-1")
+        if not text.isascii():
+            for byte, character in self.spelling.items():
+                text = text.replace(byte, character)
+        return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+
+    def _marks(self, marks: bytes) -> bytes:
+        if marks not in self:
+            self[marks] = self._whole(marks.decode())
+        return self[marks]
+
     def learn(self, words: Iterable[bytes]) -> None:
         new = [w for w in words if w not in self]
         if len(self) + len(new) > self.LIMIT:
             self.clear()
             new = list(words)
-        match, forms = self.PLAIN.fullmatch, []
         for word in new:
-            found = match(word)
-            if found:
-                before, letters, after = found.groups()
-                forms.append((word, before, letters.lower() if letters.isascii() else letters.decode().lower().encode(), after))
-            else:
-                self[word] = self._one(word.decode())
-        unknown = list({letters for _, _, letters, _ in forms if letters not in self})
-        for at in range(0, len(unknown), 2000):
-            some = unknown[at : at + 2000]
-            ids = np.array(self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(some) and ends[-1] == len(ids):
-                blob, cuts = ids.tobytes(), [0, *(ends * 4).tolist()]
-                self.update(zip(some, (blob[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)), strict=True))
-            else:
-                self.update((letters, self._one(letters.decode())) for letters in some)
-        marks = {m for _, before, _, after in forms for m in (before, after) if m not in self}
-        self.update((m, self._one(m.decode())) for m in marks)
-        for word, before, letters, after in forms:
-            self[word] = self[before] + self[letters] + self[after]
+            letters = word.strip(self.MARKS)
+            at = word.find(letters)
+            if not letters or letters.translate(None, self.LETTERS) or b"'" in word[:at]:
+                self[word] = self._whole(word.decode())
+                continue
+            lower = letters.translate(self.LOWER)
+            ids = self.get(lower)
+            if ids is None:
+                ids = self[lower] = self._letters(lower)
+            if len(letters) < len(word):
+                ids = self._marks(word[:at]) + ids + self._marks(word[at + len(letters) :])
+            self[word] = ids
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of whole texts, each as little-endian unsigned 32-bit numbers."""
@@ -205,6 +216,18 @@ def word_ids(path: str) -> WordIds:
     return _WORD_IDS[path]
 
 
+def encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[object, bytes]]:
+    """(id, token ids) of batches of ids and texts; the words are forgotten at the end."""
+    words = word_ids(path)
+    try:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                yield from zip(part.column(0).to_pylist(), words.encode(part.column(1).to_pylist()), strict=True)
+    finally:
+        empty_caches()
+
+
 def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
@@ -227,12 +250,8 @@ def pack_texts(df: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     source = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, np.ndarray, None]]:
-        words = word_ids(path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                for key, ids in zip(part.column(0).to_pylist(), words.encode(part.column(1).to_pylist()), strict=True):
-                    yield key, np.frombuffer(ids + END.to_bytes(4, "little"), "<u4"), None
+        for key, ids in encoded(batches, path):
+            yield key, np.frombuffer(ids + END.to_bytes(4, "little"), "<u4"), None
 
     return _packed(source, documents, limits, cut)
 
