@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from topictables.llm import decontamination, languages, lattice, packing, pivots, simhash, substrings, toxicity, urlfilter, warc
+from topictables.llm import collocations, decontamination, languages, lattice, packing, pivots, ranked, simhash, slack, substrings, toxicity, urlfilter, warc
 
 QUERIES = {
     "op1_lattice_likelihood": lattice.op1_lattice_likelihood,
@@ -15,6 +15,14 @@ QUERIES = {
     "op8_substring_dedup": substrings.op8_substring_dedup,
     "op9_language_mixture": languages.op9_language_mixture,
     "op10_warc_transactions": warc.op10_warc_transactions,
+    "op11_ranked_search": ranked.op11_ranked_search,
+    "op12_best_fit_packing": slack.op12_best_fit_packing,
+    "op13_phrase_collocations": collocations.op13_phrase_collocations,
 }
 
-ORACLES: dict[str, str] = {"op5_url_filter_as_of": urlfilter.ORACLE, "op10_warc_transactions": warc.ORACLE}
+ORACLES: dict[str, str] = {
+    "op5_url_filter_as_of": urlfilter.ORACLE,
+    "op10_warc_transactions": warc.ORACLE,
+    "op11_ranked_search": ranked.ORACLE,
+    "op13_phrase_collocations": collocations.ORACLE,
+}
