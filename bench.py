@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from checks import messages as m
 from checks.queries import QUERIES
-from topictables import avro_table, map_field
+from topictables import avro_table, json_table, map_field, variant_paths
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -34,19 +34,44 @@ def session() -> SparkSession:
 
 
 def stored_messages(spark: SparkSession) -> dict:
-    """Queries over Avro messages that are written before the clock starts: the reader alone."""
+    """Queries over Avro and JSON messages that are written before the clock starts: the reader alone."""
     path = tempfile.mkdtemp(prefix="bench-")
-    m.avro_shipments(m.table(spark, SF_DIR, "lineitem")).write.mode("overwrite").parquet(path)
-    messages = spark.read.parquet(path)
+    lines = m.table(spark, SF_DIR, "lineitem").repartition(int(CPUS))
+    m.avro_shipments(lines).write.parquet(f"{path}/avro")
+    m.shipments(lines).write.parquet(f"{path}/json")
+    messages, objects = (spark.read.parquet(f"{path}/{kind}") for kind in ("avro", "json"))
+    some = ["order", "parties"]
 
     def full(*_) -> DataFrame:
         return avro_table(messages, m.SHIPMENT)
 
     def narrowed(*_) -> DataFrame:
-        table = avro_table(messages, m.SHIPMENT, columns=["order", "parties"])
+        table = avro_table(messages, m.SHIPMENT, columns=some)
         return table.filter(map_field("parties", "line", "number") == 3)
 
-    return {"stored_avro_full": full, "stored_avro_narrowed": narrowed}
+    def json_full(*_) -> DataFrame:
+        return json_table(objects, m.SHIPMENT_COLUMNS)
+
+    def json_narrowed(*_) -> DataFrame:
+        table = json_table(objects, m.SHIPMENT_COLUMNS, columns=some)
+        return table.filter(map_field("parties", "line", "number") == 3)
+
+    def json_variant(*_) -> DataFrame:
+        table = json_table(objects, m.SHIPMENT_COLUMNS, columns=some, as_variant=True)
+        return table.filter(map_field("parties", "line", "number") == 3)
+
+    def json_paths(*_) -> DataFrame:
+        paths = {"order": ("$.order", "LONG"), "line": ("$.parties.line.number", "LONG")}
+        return variant_paths(json_table(objects, as_variant=True), paths).filter("line = 3").select("order")
+
+    return {
+        "stored_avro_full": full,
+        "stored_avro_narrowed": narrowed,
+        "stored_json_full": json_full,
+        "stored_json_narrowed": json_narrowed,
+        "stored_json_variant": json_variant,
+        "stored_json_paths": json_paths,
+    }
 
 
 def seconds(spark: SparkSession, query) -> float:

@@ -291,3 +291,14 @@ def scratch(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="topictables-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def forget_last_batch(spark: SparkSession, checkpoint: str) -> None:
+    """The state of a query that stopped after its last batch was written and before that was noted."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(f"{checkpoint}/commits")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    last = max(int(n) for n in names if n.isdigit())
+    for name in (str(last), f".{last}.crc"):
+        files.delete(hadoop.Path(folder, name), False)

@@ -6,6 +6,27 @@ _LATE = """event_id >= (SELECT coalesce(max(b.event_id) + 1, 0) FROM events b
 _PURCHASES = """SELECT event_id AS id, event_type AS name, user_id AS user
     FROM events WHERE event_type = 'purchase'"""
 
+# The hash of a key of up to eleven digits, word by word: M multiplies, F folds.
+_M = "((({0}) * 1540483477) & 4294967295)"
+_F = "xor({0}, ({0}) >> {1})"
+_WORD = "(ord(substr(k, {0}, 1)) + 256 * ord(substr(k, {1}, 1)) + 65536 * ord(substr(k, {2}, 1)) + 16777216 * ord(substr(k, {3}, 1)))"
+
+
+def _mixed(state: str, start: int) -> str:
+    word = _M.format(_WORD.format(*range(start, start + 4)))
+    return f"xor({_M.format(state)}, {_M.format(_F.format(word, 24))})"
+
+
+_REST = "(" + " + ".join(f"CASE WHEN n % 4 > {i} THEN {256**i} * ord(substr(k, n // 4 * 4 + {i + 1}, 1)) ELSE 0 END" for i in range(3)) + ")"
+_MURMUR2 = f"""WITH
+    a AS (SELECT event_id, cast(user_id AS varchar) AS k, cast(length(cast(user_id AS varchar)) AS bigint) AS n FROM events),
+    b AS (SELECT *, xor(2538058380, n) AS h FROM a),
+    c AS (SELECT event_id, k, n, CASE WHEN n >= 4 THEN {_mixed('h', 1)} ELSE h END AS h FROM b),
+    d AS (SELECT event_id, k, n, CASE WHEN n >= 8 THEN {_mixed('h', 5)} ELSE h END AS h FROM c),
+    e AS (SELECT event_id, CASE WHEN n % 4 > 0 THEN {_M.format(f"xor(h, {_REST})")} ELSE h END AS h FROM d),
+    f AS (SELECT event_id, {_M.format(_F.format('h', 13))} AS h FROM e)
+    SELECT event_id, cast(({_F.format('h', 15)} & 2147483647) % 4 AS integer) AS "partition" FROM f"""
+
 ORACLES = {
     "topic_scan": """SELECT cast(user_id AS varchar) AS key, props AS value,
         'event_props' AS topic, cast(user_id % 4 AS integer) AS "partition", event_id AS "offset",
@@ -127,4 +148,38 @@ ORACLES = {
         WHERE event_type IN ('purchase', 'view')""",
     "delimited_select_star": """SELECT event_id AS id, event_type AS name, user_id AS "user",
         'eventType=purchase;userId=' || user_id AS event FROM events WHERE event_type = 'purchase'""",
+    "json_variant_paths": """SELECT l_orderkey AS "order", l_returnflag AS flag,
+        cast(epoch(date_trunc('day', l_shipdate)) / 86400 AS integer) + 1 AS second_day, l_partkey AS part,
+        cast(NULL AS bigint) AS missing FROM lineitem WHERE l_returnflag = 'R'""",
+    "json_variant_schema": """SELECT event_id AS "offset",
+        cast(regexp_extract(props, '"k": *(-?[0-9]+)', 1) AS integer) AS k FROM events""",
+    "json_schema_constraints": """SELECT c_custkey AS "offset", reason, CASE WHEN reason IS NULL THEN c_name END AS holder
+        FROM (SELECT *, CASE WHEN c_mktsegment = 'MACHINERY' THEN 'balance: required'
+            WHEN c_custkey > 999 THEN 'account: maxLength' WHEN c_acctbal < 0 THEN 'balance: minimum'
+            WHEN c_acctbal >= 9000 THEN 'balance: exclusiveMaximum'
+            WHEN c_nationkey >= 20 THEN 'attributes.country: not'
+            WHEN c_mktsegment = 'FURNITURE' THEN 'attributes.segment: enum' END AS reason FROM customer)""",
+    "rejected_messages": """SELECT c_custkey AS "offset", reason,
+        CASE WHEN reason IS NULL THEN cast(c_custkey AS varchar) END AS account, CASE WHEN reason IS NULL THEN c_name END AS holder,
+        CASE WHEN reason IS NULL AND c_mktsegment <> 'MACHINERY' THEN c_acctbal END AS balance
+        FROM (SELECT *, CASE WHEN c_custkey % 5 = 0 THEN 'no bytes' WHEN c_custkey % 3 = 0 THEN 'no JSON object'
+            WHEN c_custkey % 7 = 0 THEN 'field balance: not a decimal(38,18)' END AS reason FROM customer)""",
+    "rejected_stream": """SELECT event_id AS id, CASE WHEN event_id % 4 <> 0 THEN cast(user_id AS integer) END AS "user",
+        CASE WHEN event_id % 4 = 0 THEN 'column user: not a int: nobody' END AS reason FROM events""",
+    "fanout_exactly_once": """SELECT 'sent' AS topic, event_id AS id, event_type AS name, cast(NULL AS bigint) AS "user" FROM events
+        UNION ALL SELECT 'purchases', event_id, NULL, user_id FROM events WHERE event_type = 'purchase'""",
+    "stream_without_repeats": """SELECT cast(user_id % 4 AS integer) AS "partition", event_id AS "offset",
+        epoch_us(ts) AS timestamp_us FROM events""",
+    "group_offsets_observed": f"""SELECT cast(user_id % 4 AS integer) AS "partition",
+        event_id AS "offset" FROM events e WHERE {_LATE}""",
+    "start_by_index": """SELECT cast(user_id % 4 AS integer) AS "partition",
+        event_id AS "offset" FROM events
+        WHERE event_id >= CASE user_id % 4 WHEN 0 THEN 23 WHEN 1 THEN 500 ELSE 0 END""",
+    "catalog_function": """SELECT event_id AS "offset", cast(regexp_extract(props, '"k": *(-?[0-9]+)', 1) AS integer) AS k
+        FROM events WHERE event_id >= 500 AND user_id % 4 = 2
+        AND cast(regexp_extract(props, '"k": *(-?[0-9]+)', 1) AS integer) > 30""",
+    "schema_evolution": """SELECT CASE WHEN c_custkey % 2 = 0 THEN c_custkey ELSE c_custkey + 10000000000 END AS key, c_name AS name,
+        cast(c_nationkey AS bigint) AS nation, CASE WHEN c_custkey % 2 = 0 THEN 'unknown' ELSE c_mktsegment END AS segment,
+        CASE WHEN c_custkey % 2 = 0 THEN cast(c_nationkey AS double) ELSE c_acctbal END AS score FROM customer""",
+    "keyed_partitioning": _MURMUR2,
 }

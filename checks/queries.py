@@ -12,29 +12,43 @@ from topictables import (
     LATEST,
     SPECIFIC,
     Catalog,
+    ObservedOffsets,
+    append_messages,
     avro_table,
     avro_topic,
     commit_offsets,
     committed_offsets,
     console,
+    delimited_results,
     delimited_table,
     end_offsets,
     files,
     fixed,
+    good_rows,
+    indexed_topic,
+    json_results,
     json_table,
     json_topic,
+    json_versions_table,
+    keyed,
     map_field,
     map_value,
     nth,
     nth_field,
+    read_output,
     register_table,
+    rejected,
     routed,
     start,
     start_all,
     start_at,
+    start_together,
     table_topic,
+    variant_paths,
+    variant_schema,
     with_proctime,
     with_rowtime,
+    without_repeats,
     write,
 )
 
@@ -56,6 +70,23 @@ ACCOUNT_SCHEMA_TEXT = """{
     'required': ['account']
 }"""
 ACCOUNT_SCHEMA = {"account": "STRING", "holder": "STRING", "balance": "BIG_DEC"}
+CONSTRAINED_TEXT = """{
+    "type": "object",
+    "required": ["account", "balance"],
+    "properties": {
+        "account": {"type": "string", "pattern": "^[0-9]+$", "maxLength": 3},
+        "holder": {"type": "string", "minLength": 1},
+        "balance": {"type": "number", "minimum": 0, "exclusiveMaximum": 9000},
+        "attributes": {
+            "type": "object",
+            "required": ["country"],
+            "properties": {
+                "country": {"type": "string", "not": {"pattern": "^2[0-9]$"}},
+                "segment": {"type": "string", "enum": ["BUILDING", "AUTOMOBILE", "HOUSEHOLD"]}
+            }
+        }
+    }
+}"""
 CUSTOMER_COLUMNS = {
     "key": "LONG",
     "name": "STRING",
@@ -179,6 +210,30 @@ def start_group_offsets(spark, sf_dir):
     return _started_at(spark, sf_dir, start_at(GROUP, offsets))
 
 
+def group_offsets_observed(spark, sf_dir):
+    """The same position, committed from what the reading stream observes while its batches pass."""
+    path = m.scratch(spark, "observed")
+    read = m.event_props(m.table_stream(spark, sf_dir, "events").filter(F.col("ts") < MIDDLE))
+    group = ObservedOffsets(spark, f"{path}/offsets", "readers", "event_props", m.PARTITIONS)
+    rows = group.observed(table_topic(read, "event_props")).select("partition", "offset")
+    query = start(rows, files(f"{path}/rows"), f"{path}/checkpoint", available_now=True)
+    query.awaitTermination()
+    group.commit(query)
+    offsets = committed_offsets(spark, f"{path}/offsets", "readers", "event_props")
+    return _started_at(spark, sf_dir, start_at(GROUP, offsets))
+
+
+def start_by_index(spark, sf_dir):
+    """A topic that was stored in four parts; only files that reach the start are opened."""
+    path = m.scratch(spark, "indexed")
+    messages = m.event_props(m.table(spark, sf_dir, "events"))
+    for week in range(4):
+        day = F.dayofmonth("timestamp")
+        append_messages(messages.filter(F.least(F.floor((day - 1) / 7), F.lit(3)) == week), path)
+    position = start_at(SPECIFIC, {0: 23, 1: 500, 3: 0})
+    return indexed_topic(spark, path, "event_props", position).select("partition", "offset")
+
+
 def _started_at(spark, sf_dir, position):
     messages = m.event_props(m.table(spark, sf_dir, "events"))
     return table_topic(messages, "event_props", position).select("partition", "offset")
@@ -365,7 +420,7 @@ def json_permissive(spark, sf_dir):
 
 
 def map_lookup_filter(spark, sf_dir):
-    table = shipments(spark, sf_dir)
+    table = shipments(spark, sf_dir, columns=["order", "remark", "quantity", "labels"])
     return table.filter(map_value("labels", "flag") == "R").select("order", "remark", "quantity")
 
 
@@ -383,26 +438,27 @@ def array_element(spark, sf_dir):
 
 
 def struct_field(spark, sf_dir):
-    table = customer_objects(spark, sf_dir, CUSTOMER_COLUMNS)
+    table = customer_objects(spark, sf_dir, CUSTOMER_COLUMNS, columns=["key", "segment"])
     return table.select("key", "segment.label", F.col("segment").getField("nation").alias("nation"))
 
 
 def map_struct_field(spark, sf_dir):
-    table = shipments(spark, sf_dir)
+    table = shipments(spark, sf_dir, columns=["order", "parties"])
     return table.filter(map_field("parties", "line", "number") == 3).select(
         "order", map_field("parties", "part", "number").alias("part")
     )
 
 
 def array_struct_field(spark, sf_dir):
-    table = shipments(spark, sf_dir)
+    table = shipments(spark, sf_dir, columns=["order", "stops"])
     return table.filter(nth_field("stops", 1, "status") == "F").select(
         "order", nth_field("stops", 2, "status").alias("flag")
     )
 
 
 def nested_conjunction(spark, sf_dir):
-    register_table(shipments(spark, sf_dir), "shipment_table")
+    used = ["order", "quantity", "remark", "stops", "flags", "labels", "parties"]
+    register_table(shipments(spark, sf_dir, columns=used), "shipment_table")
     return spark.sql(
         """SELECT order, quantity, remark FROM shipment_table
            WHERE try_element_at(stops, 1).status = 'F' AND try_element_at(flags, 1) <> 'N'
@@ -426,6 +482,75 @@ def nullable_fields(spark, sf_dir):
     )
 
 
+def json_variant_paths(spark, sf_dir):
+    """Paths into messages that are parsed once, without a declared schema."""
+    messages = table_topic(m.shipments(m.table(spark, sf_dir, "lineitem")), "shipments")
+    paths = {
+        "order": ("$.order", "LONG"),
+        "flag": ("$.labels.flag", "STRING"),
+        "second_day": ("$.stops[1].day", "INT"),
+        "part": ("$.parties.part.number", "LONG"),
+        "missing": ("$.parties.nobody.number", "LONG"),
+    }
+    table = variant_paths(json_table(messages, as_variant=True), paths)
+    return table.filter((F.col("flag") == "R") & (F.col("second_day") > 0)).select(*paths)
+
+
+def json_variant_schema(spark, sf_dir):
+    """The schema of the messages is found out, then used."""
+    messages = table_topic(m.event_props(m.table(spark, sf_dir, "events")), "event_props")
+    schema = variant_schema(json_table(messages, as_variant=True))
+    table = json_table(messages, schema, as_variant=True, keep=["offset"])
+    return table.select("offset", F.col("k").cast("int"))
+
+
+# ---------------------------------------------------------------- rows and reasons
+
+
+def json_schema_constraints(spark, sf_dir):
+    """What each message breaks first of a JSON Schema, and the holder of those that break nothing."""
+    results = json_results(
+        account_messages(spark, sf_dir), json_schema_text=CONSTRAINED_TEXT, keep=["offset"]
+    )
+    return results.select("offset", "reason", F.col("row.holder").alias("holder"))
+
+
+def _spoiled_accounts(spark, sf_dir):
+    """Some messages without bytes, some cut short, some with a word for a number."""
+    messages = m.accounts(m.table(spark, sf_dir, "customer"))
+    text, number = F.col("value").cast("string"), F.col("offset")
+    word = F.regexp_replace(text, '"balance":[^,]*', '"balance":"many"')
+    value = (
+        F.when(number % 5 == 0, None)
+        .when(number % 3 == 0, F.expr("substring(value, 1, length(value) - 1)"))
+        .when(number % 7 == 0, word.cast("binary"))
+        .otherwise(F.col("value"))
+    )
+    return table_topic(messages.withColumn("value", value), "accounts")
+
+
+def rejected_messages(spark, sf_dir):
+    """Every message of a partly broken topic: its row, or the reason why it has none."""
+    results = json_results(_spoiled_accounts(spark, sf_dir), ACCOUNT_SCHEMA, keep=["offset"])
+    balance = F.col("row.balance").cast("double").alias("balance")
+    return results.select("offset", "reason", "row.account", "row.holder", balance)
+
+
+def rejected_stream(spark, sf_dir):
+    """A stream of lines whose broken ones go to an output of their own."""
+    path = m.scratch(spark, "rejected")
+    events = m.table_stream(spark, sf_dir, "events")
+    user = F.when(F.col("event_id") % 4 == 0, "nobody").otherwise(F.col("user_id").cast("string"))
+    line = F.concat_ws("\t", F.col("event_id").cast("string"), user)
+    messages = table_topic(m.event_topic(events, "visits", line), "visits")
+    results = delimited_results(messages, {"id": "LONG", "user": "INT"}, keep=["offset"])
+    outputs = [(good_rows, files(f"{path}/rows")), (rejected, files(f"{path}/rejected"))]
+    start_all(results, outputs, f"{path}/checkpoint", available_now=True).awaitTermination()
+    rows = spark.read.parquet(f"{path}/rows").select("id", "user")
+    broken = spark.read.parquet(f"{path}/rejected").select(F.col("offset").alias("id"), "reason")
+    return rows.unionByName(broken, allowMissingColumns=True)
+
+
 # ---------------------------------------------------------------- tables and SQL
 
 
@@ -464,6 +589,47 @@ def catalog_table(spark, sf_dir):
     return catalog.table("accounts").filter("balance <= 30").select("account", "holder")
 
 
+def catalog_function(spark, sf_dir):
+    """A topic from a start position on, called with arguments in SQL text."""
+    catalog = Catalog(spark, "topics")
+    messages = table_topic(m.event_props(m.table(spark, sf_dir, "events")), "event_props")
+    table = json_table(messages, {"k": "INT"}, keep=["offset", "partition"])
+    parameters = {"first": "BIGINT", "place": "INT DEFAULT 2"}
+    catalog.create_function("events_from", table, parameters, "offset >= first AND partition = place")
+    catalog.set_variable("least_k", "INT", 30)
+    return catalog.sql("SELECT offset, k FROM events_from(500) WHERE k > least_k")
+
+
+def schema_evolution(spark, sf_dir):
+    """A topic of two versions: the later one renames a field, widens numbers and adds a nested field."""
+    customers = m.table(spark, sf_dir, "customer")
+    key, nation, balance = F.col("c_custkey"), F.col("c_nationkey"), F.col("c_acctbal")
+    old = F.struct(
+        key.alias("key"),
+        F.col("c_name").alias("name"),
+        F.struct(nation.alias("nation")).alias("place"),
+        F.array(nation).alias("scores"),
+    )
+    new = F.struct(
+        (key + 10_000_000_000).alias("key"),
+        F.col("c_name").alias("full_name"),
+        F.struct(nation.alias("nation"), F.col("c_mktsegment").alias("segment")).alias("place"),
+        F.array(balance, F.lit(0.5)).alias("scores"),
+    )
+    value = F.when(key % 2 == 0, m.to_json_message(old)).otherwise(m.to_json_message(new))
+    messages = table_topic(m.envelope(customers, "people", value, partition_by=key, offset=key), "people")
+    versions = [
+        (F.col("offset") % 2 == 0, "key int, name string, place struct<nation:int>, scores array<int>", None),
+        (
+            F.col("offset") % 2 == 1,
+            "key bigint, full_name string, place struct<nation:bigint,segment:string>, scores array<double>",
+            {"full_name": "name"},
+        ),
+    ]
+    table = json_versions_table(messages, versions, {"place.segment": "unknown"})
+    return table.select("key", "name", "place.nation", "place.segment", nth("scores", 1).alias("score"))
+
+
 # ---------------------------------------------------------------- sinks
 
 
@@ -592,6 +758,28 @@ def fanout_two_queries(spark, sf_dir):
     return spark.read.parquet(f"{path}/rows").select("id", "name")
 
 
+def fanout_exactly_once(spark, sf_dir):
+    """Two outputs of one stream whose last batch is run again, as after a failure."""
+    path = m.scratch(spark, "once")
+    messages = table_topic(m.event_lines(m.table_stream(spark, sf_dir, "events")), "event_lines")
+    lines = delimited_table(messages, LINE_SCHEMA)
+    bought = map_value("event", "eventType") == "purchase"
+    sent = {"name": "STRING", "id": "LONG"}
+    routes = {
+        "sent": (None, ["name", "id"], json_topic("sent", schema=sent, path="unused")),
+        "purchases": (bought, ["id", "user"], files("unused", {"id": "LONG", "user": "LONG"})),
+    }
+    for _ in range(2):
+        query = start_together(lines, routes, f"{path}/out", f"{path}/state", available_now=True)
+        query.awaitTermination()
+        m.forget_last_batch(spark, f"{path}/state")
+    topic = read_output(spark, f"{path}/out", "sent", "topic string, value binary, partition int")
+    rows = json_table(topic, sent, keep=["topic"]).select("topic", "id", "name")
+    purchases = read_output(spark, f"{path}/out", "purchases", "id bigint, user bigint")
+    purchases = purchases.withColumn("topic", F.lit("purchases"))
+    return rows.unionByName(purchases, allowMissingColumns=True)
+
+
 def fixed_partitioning(spark, sf_dir):
     """The partition of every message, and that its writer keeps to one."""
     rows = m.table(spark, sf_dir, "events").select("event_id", "event_type")
@@ -603,6 +791,14 @@ def fixed_partitioning(spark, sf_dir):
     return json_table(checked, {"event_id": "LONG", "event_type": "STRING"}, keep=kept)
 
 
+def keyed_partitioning(spark, sf_dir):
+    """Messages with a key, where other clients put that key."""
+    rows = m.table(spark, sf_dir, "events").select("event_id", "user_id")
+    key = F.col("user_id").cast("string")
+    sink = json_topic("events", path="unused", partitions=m.PARTITIONS, partitioner=keyed(key), key=key)
+    return json_table(sink.rows(rows), {"event_id": "LONG"}, keep=["partition"])
+
+
 def custom_partitioning(spark, sf_dir):
     partition = F.pmod("user_id", F.lit(m.PARTITIONS)).cast("int")
     rows = m.table(spark, sf_dir, "events").select("event_id", "user_id")
@@ -676,6 +872,29 @@ def rowtime_from_envelope(spark, sf_dir):
     return spark.read.parquet(f"{path}/rows")
 
 
+def stream_without_repeats(spark, sf_dir):
+    """A stream of three batches: later ones hold messages of earlier ones again, and the last one
+    messages that come too late."""
+    path = m.scratch(spark, "repeats")
+    messages = m.event_props(m.table(spark, sf_dir, "events"))
+    day = F.dayofmonth("timestamp")
+    late = F.col("offset") + 1_000_000_000
+    batches = [
+        messages.filter(day <= 10),
+        messages.filter((day > 8) & (day <= 20)),
+        messages.filter(day > 18).unionByName(messages.filter(day <= 2).withColumn("offset", late)),
+    ]
+    rows = None
+    for number, batch in enumerate(batches):
+        batch.write.parquet(f"{path}/in/batch={number}")
+        arriving = spark.readStream.schema(messages.schema).parquet(f"{path}/in/batch=*")
+        once = without_repeats(table_topic(arriving, "event_props"), "4 days")
+        rows = once.select("partition", "offset", F.unix_micros("timestamp").alias("timestamp_us"))
+        sink = files(f"{path}/rows")
+        start(rows, sink, f"{path}/checkpoint", available_now=True).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{path}/rows")
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -690,6 +909,8 @@ QUERIES = {
         start_latest_stream,
         start_specific_offsets,
         start_group_offsets,
+        group_offsets_observed,
+        start_by_index,
         delimited_ragged,
         delimited_map,
         delimited_select_star,
@@ -704,6 +925,11 @@ QUERIES = {
         map_struct_field,
         array_struct_field,
         nested_conjunction,
+        json_variant_paths,
+        json_variant_schema,
+        json_schema_constraints,
+        rejected_messages,
+        rejected_stream,
         nullable_fields,
         project_columns,
         select_star,
@@ -711,6 +937,8 @@ QUERIES = {
         schema_narrowing,
         catalog_query,
         catalog_table,
+        catalog_function,
+        schema_evolution,
         avro_roundtrip,
         avro_documents,
         json_roundtrip,
@@ -720,12 +948,15 @@ QUERIES = {
         insert_into_sink,
         fanout_multi_sink,
         fanout_two_queries,
+        fanout_exactly_once,
         fixed_partitioning,
         custom_partitioning,
+        keyed_partitioning,
         stream_equals_batch,
         stream_to_avro_topic,
         proctime_column,
         rowtime_watermark,
         rowtime_from_envelope,
+        stream_without_repeats,
     )
 }

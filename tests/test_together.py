@@ -1,0 +1,234 @@
+"""Outputs that are seen together and once; repeated messages; observed offsets; keys."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from checks import messages as m
+from topictables import (
+    ObservedOffsets,
+    append_messages,
+    committed_offsets,
+    files,
+    files_from,
+    fixed,
+    indexed_topic,
+    json_topic,
+    keyed,
+    murmur2,
+    read_output,
+    routed,
+    start,
+    start_at,
+    start_together,
+    table_topic,
+    without_repeats,
+    write_together,
+)
+
+SCHEMA = "id long, kind string, n int"
+
+
+def rows(spark, ids):
+    return spark.createDataFrame([(i, "even" if i % 2 == 0 else "odd", i if i % 5 else None) for i in ids], SCHEMA)
+
+
+def routes():
+    return {
+        "all": (None, ["id", F.upper("kind").alias("kind")], files("unused", {"id": "LONG", "kind": "STRING"})),
+        "even": (F.col("kind") == "even", ["n"], json_topic("even", path="unused", key=F.col("kind"))),
+    }
+
+
+ALL, EVEN = "id long, kind string", "topic string, value binary, partition int, key binary"
+
+
+def seen(spark, path):
+    return (
+        sorted(tuple(r) for r in read_output(spark, path, "all", ALL).collect()),
+        sorted((r.topic, bytes(r.value).decode(), bytes(r.key).decode()) for r in read_output(spark, path, "even", EVEN).collect()),
+    )
+
+
+def expected(ids):
+    return (
+        [(i, "EVEN" if i % 2 == 0 else "ODD") for i in ids],
+        sorted(("even", '{"n":%s}' % (i if i % 5 else "null"), "even") for i in ids if i % 2 == 0),
+    )
+
+
+def test_batch_writes_all_outputs_or_none(spark, tmp_path):
+    path = str(tmp_path / "out")
+    assert seen(spark, path) == ([], [])
+    write_together(rows(spark, range(20)).repartition(3), routes(), path)
+    assert seen(spark, path) == expected(range(20))
+    failing = rows(spark, range(20, 40)).repartition(3).withColumn("kind", F.when(F.col("id") == 33, F.raise_error(F.lit("no kind"))).otherwise(F.col("kind")))
+    with pytest.raises(Exception, match="no kind"):
+        write_together(failing, routes(), path)
+    assert seen(spark, path) == expected(range(20))
+    write_together(rows(spark, range(20, 40)), routes(), path)
+    assert seen(spark, path) == expected(range(40))
+    write_together(rows(spark, []), routes(), path)
+    assert seen(spark, path) == expected(range(40))
+
+
+def test_a_failed_write_leaves_no_files(spark, tmp_path):
+    failing = rows(spark, range(10)).coalesce(1).withColumn("kind", F.when(F.col("id") == 9, F.raise_error(F.lit("no kind"))).otherwise(F.col("kind")))
+    with pytest.raises(Exception, match="no kind"):
+        write_together(failing, routes(), str(tmp_path))
+    assert not list(tmp_path.rglob("*.parquet")) and not list(tmp_path.rglob("*.json"))
+
+
+def test_a_repeated_batch_adds_nothing(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    for k in range(3):
+        rows(spark, range(k * 10, k * 10 + 10)).write.mode("append").parquet(source)
+        for _ in range(2):
+            stream = spark.readStream.schema(SCHEMA).parquet(source)
+            start_together(stream, routes(), out, state, available_now=True).awaitTermination()
+            assert seen(spark, out) == expected(range(k * 10 + 10))
+            m.forget_last_batch(spark, state)
+    named = re.findall(r"\w+\.parquet", "".join(p.read_text() for p in tmp_path.rglob("manifests/*.json")))
+    assert sorted(named) == sorted(p.name for p in (tmp_path / "out").rglob("*.parquet"))
+    # Another stream below the same path has its own batches.
+    stream = spark.readStream.schema(SCHEMA).parquet(source)
+    start_together(stream, routes(), out, f"{state}2", available_now=True).awaitTermination()
+    assert len(seen(spark, out)[0]) == 60
+
+
+def test_a_failing_output_shows_nothing_of_its_batch(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows(spark, range(10)).write.parquet(source)
+    required = files("unused", spark.createDataFrame([], "n int not null").schema)
+    stream = spark.readStream.schema(SCHEMA).parquet(source)
+    query = start_together(stream, {"all": routes()["all"], "n": (None, ["n"], required)}, out, str(tmp_path / "state"), available_now=True)
+    with pytest.raises(Exception, match="null in the required column n"):
+        query.awaitTermination()
+    assert read_output(spark, out, "all", ALL).count() == 0
+
+
+def test_names_of_outputs(spark, tmp_path):
+    for name in ("manifests", "a/b", ""):
+        with pytest.raises(ValueError, match="cannot name"):
+            write_together(rows(spark, [1]), {name: routes()["all"]}, str(tmp_path))
+    with pytest.raises(ValueError, match="at least one"):
+        write_together(rows(spark, [1]), {}, str(tmp_path))
+
+
+def envelopes(spark, offsets, topic="t", partition=None):
+    data = [(b"k", b"{}", topic, o % 3 if partition is None else partition, o, o, 0) for o in offsets]
+    schema = "key binary, value binary, topic string, partition int, offset long, s long, timestampType int"
+    df = spark.createDataFrame(data, schema).withColumn("timestamp", F.timestamp_seconds("s"))
+    return df.select(*m.ENVELOPE.names)
+
+
+def test_repeats_in_a_table(spark):
+    twice = envelopes(spark, range(10)).unionByName(envelopes(spark, range(5)))
+    assert without_repeats(twice, "1 hour").count() == 10
+    with pytest.raises(ValueError, match="no column topic"):
+        without_repeats(twice.drop("topic"), "1 hour")
+
+
+def test_repeats_and_late_messages_in_a_stream(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    batches = [range(1, 100), [*range(90, 150), 99, 99], [*range(150, 160), 5, *range(145, 150)]]
+    for k, offsets in enumerate(batches):
+        envelopes(spark, offsets).write.parquet(f"{source}/b={k}")
+        if k == 2:
+            late = envelopes(spark, [20]).withColumn("offset", F.lit(10_000).cast("long"))
+            late.write.mode("append").parquet(f"{source}/b={k}")
+        stream = spark.readStream.schema(m.ENVELOPE).parquet(f"{source}/b=*")
+        once = without_repeats(table_topic(stream, "t"), "30 seconds").select("offset")
+        start(once, files(out), state, available_now=True).awaitTermination()
+    assert sorted(r.offset for r in spark.read.schema("offset long").parquet(out).collect()) == list(range(1, 160))
+
+
+def test_observed_offsets(spark, tmp_path):
+    source = str(tmp_path / "in")
+    group = ObservedOffsets(spark, str(tmp_path / "offsets"), "g", "t", 3)
+    read = lambda: committed_offsets(spark, str(tmp_path / "offsets"), "g", "t")
+    for last in (4, 10):
+        envelopes(spark, range(last)).write.mode("append").parquet(source)
+        stream = group.observed(table_topic(spark.readStream.schema(m.ENVELOPE).parquet(source), "t"))
+        query = start(stream.select("offset"), files(str(tmp_path / "out")), str(tmp_path / "state"), available_now=True)
+        query.awaitTermination()
+        group.commit(query)
+        group.commit(query)
+        assert read() == {p: max(o for o in range(last) if o % 3 == p) + 1 for p in range(3)}
+    envelopes(spark, [50], partition=7).write.mode("append").parquet(source)
+    stream = group.observed(table_topic(spark.readStream.schema(m.ENVELOPE).parquet(source), "t"))
+    query = start(stream.select("offset"), files(str(tmp_path / "out")), str(tmp_path / "state"), available_now=True)
+    query.awaitTermination()
+    with pytest.raises(ValueError, match="partition 7"):
+        group.commit(query)
+
+
+def test_index_picks_files(spark, tmp_path):
+    path = str(tmp_path)
+    for k in range(5):
+        append_messages(envelopes(spark, range(k * 30, k * 30 + 30)).repartition(2), path)
+    append_messages(envelopes(spark, range(30), topic="other"), path)
+    assert len(files_from(spark, path, "t")) == 10
+    position = start_at("specific-offsets", {0: 100, 1: 125, 2: 140})
+    assert len(files_from(spark, path, "t", position)) <= 4
+    got = indexed_topic(spark, path, "t", position).collect()
+    assert sorted(r.offset for r in got) == [o for o in range(150) if o >= {0: 100, 1: 125, 2: 140}[o % 3]]
+    assert sorted(r.offset for r in indexed_topic(spark, path, "t", start_at("specific-offsets", {1: 149})).collect()) == [o for o in range(150) if o % 3 != 1]
+    late = start_at("specific-offsets", {1: 130}, "latest-offset")
+    assert sorted(r.offset for r in indexed_topic(spark, path, "t", late).collect()) == [o for o in range(130, 150) if o % 3 == 1]
+    assert indexed_topic(spark, path, "t", start_at("latest-offset", {p: 150 for p in range(3)})).count() == 0
+    assert indexed_topic(spark, path, "t", start_at("latest-offset")).count() == 0
+    assert len(files_from(spark, path, "t", since="1970-01-01 00:02:00")) == 2
+    assert indexed_topic(spark, path, "t", since="1970-01-01 00:02:05").count() == 25
+    # Files that no index names, as an append leaves them that stops half-way, are not read.
+    envelopes(spark, [999]).write.parquet(f"{path}/messages/half")
+    assert indexed_topic(spark, path, "t").count() == 150
+
+
+def test_murmur2_is_that_of_other_clients(spark):
+    # Known values of the clients' own hash, as signed numbers.
+    known = {
+        "21": -973932308,
+        "foobar": -790332482,
+        "a-little-bit-long-string": -985981536,
+        "a-little-bit-longer-string": -1486304829,
+        "lkjh234lh9fiuh90y23oiuhsafujhadof229phr9h19h89h8": -58897971,
+        "abc": 479470107,
+    }
+    df = spark.createDataFrame([(k,) for k in known], "k string")
+    got = df.select("k", murmur2(F.col("k").cast("binary")).alias("h"))
+    assert {r.k: r.h for r in got.collect()} == {k: v & 0xFFFFFFFF for k, v in known.items()}
+    assert "Python" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def python_murmur2(data):
+    mask, factor = 0xFFFFFFFF, 0x5BD1E995
+    h = 0x9747B28C ^ len(data)
+    for i in range(0, len(data) // 4 * 4, 4):
+        k = int.from_bytes(data[i : i + 4], "little") * factor & mask
+        h = h * factor & mask ^ (k ^ k >> 24) * factor & mask
+    if rest := data[len(data) // 4 * 4 :]:
+        h = (h ^ int.from_bytes(rest, "little")) * factor & mask
+    h = (h ^ h >> 13) * factor & mask
+    return h ^ h >> 15
+
+
+def test_keys_of_any_length(spark):
+    data = [bytes((i * 37 + j * 101) % 256 for j in range(i % 23)) for i in range(200)]
+    df = spark.createDataFrame([(bytearray(d),) for d in data] + [(None,)], "k binary")
+    got = df.select("k", murmur2(F.col("k")).alias("h"), keyed(F.col("k"))(7).alias("p"), fixed(7).alias("own")).collect()
+    for row in got:
+        if row.k is None:
+            assert row.h is None and row.p == row.own
+        else:
+            assert row.h == python_murmur2(bytes(row.k)) and row.p == (row.h & 0x7FFFFFFF) % 7
+
+
+def test_messages_carry_their_key(spark):
+    sink = json_topic("t", path="unused", partitions=4, partitioner=keyed(F.col("kind")), key=F.col("kind"))
+    sent = sink.rows(rows(spark, range(6))).collect()
+    assert {(bytes(r.key), r.partition) for r in sent} == {(k, (python_murmur2(k) & 0x7FFFFFFF) % 4) for k in (b"even", b"odd")}
+    both = routed(rows(spark, range(6)), [(None, ["id"], sink), (None, ["id"], json_topic("u", path="unused"))])
+    assert {r.key is None for r in both.filter("topic = 'u'").collect()} == {True}
+    assert {bytes(r.key) for r in both.filter("topic = 't'").collect()} == {b"even", b"odd"}

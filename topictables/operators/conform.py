@@ -19,12 +19,16 @@ def check_sink_schema(rows: T.StructType, sink: T.StructType) -> None:
 
 def conform(df: DataFrame, sink: T.StructType) -> list[Column]:
     """The rows' columns under the sink's names; null in a required column raises."""
-    check_sink_schema(df.schema, sink)
-    columns = []
-    for have, want in zip(df.schema.fields, sink.fields, strict=True):
-        column = F.col(f"`{have.name}`")
+    return conformed([F.col(f"`{name}`") for name in df.columns], df.schema, sink)
+
+
+def conformed(columns: list[Column], rows: T.StructType, sink: T.StructType) -> list[Column]:
+    """The same for columns that are yet to be selected, of which `rows` is the schema."""
+    check_sink_schema(rows, sink)
+    found = []
+    for column, have, want in zip(columns, rows.fields, sink.fields, strict=True):
         if have.nullable and not want.nullable:
             problem = F.raise_error(F.lit(f"null in the required column {want.name}"))
             column = F.coalesce(column, problem.cast(want.dataType))
-        columns.append(column.alias(want.name))
-    return columns
+        found.append(column.alias(want.name))
+    return found

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import types as T
@@ -54,3 +54,23 @@ def table_columns(
     return [
         record.getField(source).alias(name) for name, source in zip(names, sources, strict=True)
     ]
+
+
+def narrowed(
+    declared: T.StructType | None,
+    fields: T.StructType,
+    mapping: Mapping[str, str] | None,
+    columns: Sequence[str] | None,
+) -> tuple[T.StructType | None, Mapping[str, str] | None]:
+    """The declared columns and the mapping for some of the table's columns; all if none are named."""
+    if columns is None:
+        return declared, mapping
+    sources = source_fields(declared, fields, mapping)
+    if declared is None:
+        names_of = {source: name for name, source in (mapping or {}).items()}
+        declared = T.StructType([T.StructField(names_of.get(s, s), fields[s].dataType) for s in sources])
+    unknown = set(columns) - set(declared.names)
+    if unknown:
+        raise ValueError(f"the table has no column {', '.join(sorted(unknown))}")
+    source_of = dict(zip(declared.names, sources, strict=True))
+    return T.StructType([declared[c] for c in columns]), {c: source_of[c] for c in columns}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,6 +69,35 @@ class Catalog:
             return self._spark.sql(text, **{self._name: SimpleNamespace(**self._tables)})
         return self._spark.sql(text)
 
+    def create_function(
+        self, name: str, table: DataFrame, parameters: Mapping[str, str], condition: str
+    ) -> None:
+        """A bounded table with parameters, called in SQL text as `FROM name(value, ...)`.
+
+        `condition` is SQL over the table's columns and the parameters; a parameter that is called
+        like a column is `name.parameter` there. A parameter's type may be followed by `DEFAULT` and
+        a value. Spark puts the function's query in place of the call, so conditions of the
+        function and around it reach the scan.
+        """
+        if not name.isidentifier():
+            raise ValueError(f"{name!r} is not the name of a function")
+        view = f"_{self._name}_{name}"
+        table.createOrReplaceTempView(view)
+        declared = ", ".join(f"`{p}` {kind}" for p, kind in parameters.items())
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
+        chosen = ", ".join(f"`{c}`" for c in table.columns)
+        self._spark.sql(
+            f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({declared}) RETURNS TABLE ({columns}) "
+            f"RETURN SELECT {chosen} FROM `{view}` WHERE {condition}"
+        )
+
+    def set_variable(self, name: str, kind: str, value: object) -> None:
+        """A session variable, which SQL text names like a column."""
+        if not name.isidentifier():
+            raise ValueError(f"{name!r} is not the name of a variable")
+        self._spark.sql(f"DECLARE OR REPLACE VARIABLE `{name}` {kind}")
+        self._spark.sql(f"SET VARIABLE `{name}` = CAST(:value AS {kind})", {"value": value})
+
     def create_sink(self, name: str, sink: Sink) -> None:
         if name in self._sinks:
             raise ValueError(f"sink {name} exists")

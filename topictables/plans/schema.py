@@ -204,7 +204,7 @@ def avro_schema(schema: str | dict | list) -> T.StructType:
     return avro_type(resolved)
 
 
-def _load_json(text: str) -> dict:
+def load_json(text: str) -> dict:
     """JSON text; single-quoted strings are accepted too."""
     try:
         return json.loads(text)
@@ -232,23 +232,25 @@ JSON_STRING_FORMATS = {
 }
 
 
+def pointer(root: dict, ref: str) -> dict:
+    """The part of a JSON Schema that a reference names."""
+    if not ref.startswith("#/"):
+        raise ValueError(f"only references inside the schema are supported, not {ref!r}")
+    node = root
+    for part in ref[2:].split("/"):
+        node = node[part.replace("~1", "/").replace("~0", "~")]
+    return node
+
+
 def json_schema(schema: str | dict) -> T.StructType:
     """The table schema of a JSON Schema text that describes an object."""
-    root = _load_json(schema) if isinstance(schema, str) else schema
-
-    def pointer(ref: str):
-        if not ref.startswith("#/"):
-            raise ValueError(f"only references inside the schema are supported, not {ref!r}")
-        node = root
-        for part in ref[2:].split("/"):
-            node = node[part.replace("~1", "/").replace("~0", "~")]
-        return node
+    root = load_json(schema) if isinstance(schema, str) else schema
 
     def spark_type(node: dict, seen: frozenset) -> T.DataType:
         if "$ref" in node:
             if node["$ref"] in seen:
                 raise ValueError(f"{node['$ref']} contains itself")
-            return spark_type(pointer(node["$ref"]), seen | {node["$ref"]})
+            return spark_type(pointer(root, node["$ref"]), seen | {node["$ref"]})
         if "oneOf" in node:
             kinds = [k for k in node["oneOf"] if k.get("type") != "null"]
             if len(kinds) != 1:

@@ -12,8 +12,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
+from pyspark.sql.streaming.query import StreamingQuery
 
 STATE = "topic string, partition int, offset bigint"
 KEPT_VERSIONS = 2
@@ -25,6 +27,59 @@ def commit_offsets(messages: DataFrame, path: str, group: str) -> None:
     _write(messages.sparkSession, path, group, read, F.max("offset"))
 
 
+def commit_read(spark: SparkSession, path: str, group: str, topic: str, offsets: Mapping[int, int]) -> None:
+    """Record the next offsets of a group that are known already. A commit never moves the group back."""
+    rows = spark.createDataFrame([(topic, p, o) for p, o in offsets.items()], STATE)
+    _write(spark, path, group, rows, F.max("offset"))
+
+
+class ObservedOffsets(StreamingQueryListener):
+    """Commits what a stream has read by what it observes of itself.
+
+    `observed` puts the metrics into the stream: the last offset of each partition of the topic, counted
+    while the batch passes, so a commit needs no aggregation of its own. As a listener of the
+    session (`spark.streams.addListener`) it commits each batch some time after it has ended;
+    `commit(query)` does the same at once, for a query that has stopped.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, group: str, topic: str, partitions: int):
+        if partitions < 1:
+            raise ValueError("a topic has at least one partition")
+        self.spark, self.path, self.group = spark, path, group
+        self.topic, self.partitions = topic, partitions
+        self.metric = f"read offsets of {group} in {topic}"
+
+    def observed(self, messages: DataFrame) -> DataFrame:
+        """The messages, whose partitions are numbered below the number given; others raise at the commit."""
+        partition, offset = F.col("partition"), F.col("offset")
+        last = [F.max(F.when(partition == p, offset)).alias(f"p{p}") for p in range(self.partitions)]
+        beyond = F.max(F.when(partition >= self.partitions, partition)).alias("beyond")
+        return messages.observe(self.metric, *last, beyond)
+
+    def commit(self, query: StreamingQuery) -> None:
+        for progress in query.recentProgress:
+            self._commit(progress.observedMetrics)
+
+    def _commit(self, metrics: Mapping[str, Row]) -> None:
+        row = metrics.get(self.metric)
+        if row is None:
+            return
+        if row["beyond"] is not None:
+            raise ValueError(f"topic {self.topic} has a partition {row['beyond']}")
+        offsets = {p: row[f"p{p}"] + 1 for p in range(self.partitions) if row[f"p{p}"] is not None}
+        if offsets:
+            commit_read(self.spark, self.path, self.group, self.topic, offsets)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self._commit(event.progress.observedMetrics)
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def reset_offsets(
     spark: SparkSession, path: str, group: str, topic: str, offsets: Mapping[int, int]
 ) -> None:

@@ -31,9 +31,10 @@ class Sink:
     topic: str | None = None
     encode: Callable[[Column], Column] | None = None
     partition: Column | None = None
+    key: Column | None = None
 
     def rows(self, df: DataFrame) -> DataFrame:
-        """The DataFrame to write: typed rows, or `topic`, `value` and `partition` of messages."""
+        """The DataFrame to write: typed rows, or `topic`, `value`, `partition` and `key` of messages."""
         columns = conform(df, self.schema) if self.schema is not None else ["*"]
         if self.encode is None:
             return df.select(*columns)
@@ -45,6 +46,8 @@ class Sink:
         ]
         if self.partition is not None:
             message.append(self.partition.alias("partition"))
+        if self.key is not None:
+            message.append(self.key.cast("binary").alias("key"))
         return df.select(*message)
 
 
@@ -73,6 +76,7 @@ def avro_topic(
     path: str | None = None,
     partitions: int | None = None,
     partitioner: Column | Partitioner | None = None,
+    key: Column | None = None,
 ) -> Sink:
     """Rows as Avro records to a topic (K1), columns matched by position.
 
@@ -87,6 +91,7 @@ def avro_topic(
         topic,
         lambda row: to_avro_message(row, record),
         _partition(partitioner, partitions),
+        key,
     )
 
 
@@ -98,12 +103,13 @@ def json_topic(
     path: str | None = None,
     partitions: int | None = None,
     partitioner: Column | Partitioner | None = None,
+    key: Column | None = None,
 ) -> Sink:
-    """Rows as JSON objects to a topic (K2)."""
+    """Rows as JSON objects to a topic (K2), with the key of the message if one is given."""
     kind, options = _target(topic, properties, path)
     declared = table_schema(schema) if schema is not None else None
     partition = _partition(partitioner, partitions)
-    return Sink(kind, options, declared, topic, to_json_message, partition)
+    return Sink(kind, options, declared, topic, to_json_message, partition, key)
 
 
 def console() -> Sink:
@@ -233,7 +239,7 @@ def routed(
     gives one message per route it meets; the `topic` column says where it goes. Nothing is kept
     between outputs, so this is the cheaper form of `start_all` where all outputs are topics.
     """
-    wanted, values, partitions = [], [], []
+    wanted, values, partitions, keys = [], [], [], []
     route = F.col("_route")
     for number, (condition, columns, sink) in enumerate(routes):
         if sink.encode is None:
@@ -247,10 +253,13 @@ def routed(
         values.append(sink.encode(F.when(route == number, F.struct(*columns))))
         partition = F.lit(None) if sink.partition is None else sink.partition
         partitions.append(F.when(route == number, partition.cast("int")))
+        if sink.key is not None:
+            keys.append(F.when(route == number, sink.key.cast("binary")))
     tags = F.filter(F.array(*wanted), lambda tag: tag.isNotNull())
     topics = F.array(*[F.lit(sink.topic) for _, _, sink in routes])
     return df.select("*", F.explode(tags).alias("_route")).select(
         F.get(topics, route).alias("topic"),
         F.coalesce(*values).alias("value"),
         F.coalesce(*partitions).alias("partition"),
+        *([F.coalesce(*keys).alias("key")] if keys else []),
     )

@@ -1,7 +1,9 @@
-"""Time columns of a table."""
+"""Time columns of a table, late and repeated messages."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,3 +33,18 @@ def with_rowtime(df: DataFrame, name: str, source: str | None = None, delay: str
     if source != name or kind == "timestamp_ntz":
         df = df.withColumn(name, F.col(source).cast("timestamp"))
     return df.withWatermark(name, delay)
+
+
+def without_repeats(messages: DataFrame, delay: str, time: str = "timestamp", keys: Sequence[str] = ("topic", "partition", "offset")) -> DataFrame:
+    """Messages without those that come again, for example after a producer or a reader failed.
+
+    A stream keeps the keys of the messages within `delay` of the latest time in its state store, drops
+    what comes again within the delay, and what is later than the delay altogether. So its state is
+    bounded by the delay, not by the topic. A bounded table keeps one message of each key.
+    """
+    missing = [name for name in (time, *keys) if name not in messages.columns]
+    if missing:
+        raise ValueError(f"the table has no column {', '.join(missing)}")
+    if not messages.isStreaming:
+        return messages.dropDuplicates(list(keys))
+    return with_rowtime(messages, time, delay=delay).dropDuplicatesWithinWatermark(list(keys))
