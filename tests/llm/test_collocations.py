@@ -58,7 +58,8 @@ def test_partitions_are_counts():
     for r in rows:
         counts.update(tuple(r[:k]) for k in range(2, len(r) + 1))
     padded = np.array([r + [0] * (5 - len(r)) for r in rows], np.uint64)
-    found, weights = c.collapsed(padded, np.ones(len(padded), np.int64))
+    first, weights = c.collapsed(list(padded.T), np.ones(len(padded), np.int64))
+    found = padded[first]
     assert len(found) == len({tuple(r) for r in rows}) and weights.sum() == 800
     for least in (1, 7):
         got = {tuple(found[row, :n].tolist()): count for n, row, count in c.partitioned(found, weights, least, 2)}
@@ -68,8 +69,17 @@ def test_partitions_are_counts():
 def test_rows_with_one_hash_are_told_apart(monkeypatch):
     monkeypatch.setattr(c, "mixed", lambda columns: np.zeros(len(columns[0]), np.uint64))
     rows = np.array([[1, 2], [3, 4], [1, 2], [1, 5]], np.uint64)
-    found, weights = c.collapsed(rows, np.array([1, 1, 5, 1]))
-    assert sorted(zip(found.tolist(), weights.tolist(), strict=True)) == [([1, 2], 6), ([1, 5], 1), ([3, 4], 1)]
+    first, weights = c.collapsed(list(rows.T), np.array([1, 1, 5, 1]))
+    assert sorted(zip(rows[first].tolist(), weights.tolist(), strict=True)) == [([1, 2], 6), ([1, 5], 1), ([3, 4], 1)]
+
+
+def test_suffixes_are_packed_whole():
+    rng = np.random.default_rng(1)
+    for n in (1, 7, 3000):
+        words = rng.integers(0, 1 << 63, 400, np.uint64)[rng.integers(0, 400, (n, 5))]
+        weights = rng.integers(1, 1 << 31, n)
+        got, counts = c.unpacked(c.packed(words, weights))
+        assert (got == words).all() and (counts == weights).all()
 
 
 def test_words_with_one_hash_get_another_seed(spark, monkeypatch):

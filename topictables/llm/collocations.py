@@ -8,18 +8,20 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from topictables.llm.common import alone, byte_texts, empty_caches, partitions, stored, table
+from topictables.llm.common import alone, byte_texts, empty_caches, partitions, runs, stored, table
 
 #: Words of the longest phrase, the least count of a candidate, and how many are returned per language.
 LONGEST, LEAST, FIRST = 5, 100, 2000
 #: Suffixes of a shard, on average, and those with one start from which it is routed by one word more.
 SHARD, HOT = 500_000, 500_000
 #: Positions whose suffixes a task looks at together, and different words that it holds.
-POSITIONS, WORDS = 1_000_000, 300_000
+POSITIONS, WORDS = 500_000, 150_000
+#: Positions, on average, whose starts are counted in one task.
+COUNTED = 4_000_000
 #: Bounds of the bits in a bitmap of frequent starts, as powers of two; its largest size is 32 MB.
 LEAST_BITS, MOST_BITS = 16, 28
 UNDEFINED = "und"
@@ -118,28 +120,34 @@ def mixed(columns: list[np.ndarray]) -> np.ndarray:
 class Bitmap:
     """Fixed number of bits; a hash is in it if the bit of its uppermost digits is set."""
 
-    def __init__(self, bits: int, parts: list):
+    def __init__(self, bits: int):
         self.bits = bits
         self.set = np.zeros(1 << bits >> 3, np.uint8)
-        for r in parts:
-            start = (r["part"] - 1) * 4096
-            block = np.frombuffer(bytes(r["bitmap"]), np.uint8)
-            self.set[start : start + 4096] = block[: len(self.set) - start]
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
         at = (hashes >> np.uint64(64 - self.bits)).view(np.int64)
         return (self.set[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def _bitmap(buckets: DataFrame, bits: int) -> Bitmap:
-    """The bits of column `bucket`, made in the executors and sent in blocks of 4 KB."""
-    at = F.col("bucket").cast("long") + 1  # Spark's bitmaps begin with 1
-    parts = buckets.groupBy(F.bitmap_bucket_number(at).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bitmap"))
-    return Bitmap(bits, parts.collect())
+def _of_words(frequent: DataFrame, bits: int) -> Bitmap:
+    """The bits of column `hash`, made in the executors and sent in blocks of 4 KB."""
+    at = F.shiftrightunsigned("hash", 64 - bits) + 1  # Spark's bitmaps begin with 1
+    parts = frequent.groupBy(F.bitmap_bucket_number(at).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+    bitmap = Bitmap(bits)
+    for r in parts.collect():
+        start = (r["part"] - 1) * 4096
+        bitmap.set[start : start + 4096] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return bitmap
 
 
-def _bucket(hash_column: Column, bits: int) -> Column:
-    return F.shiftrightunsigned(hash_column, 64 - bits)
+def planes(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^32, the lowest byte of each first, then the next of each: the uppermost bytes are
+    mostly zero, and side by side they take little room once compressed."""
+    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def from_planes(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
 class Starts:
@@ -190,9 +198,15 @@ def _gathered(batches: Iterator[pa.RecordBatch], positions: int) -> Iterator[np.
         yield np.concatenate(held)
 
 
-def _start_counts(codes: DataFrame, starts: Starts, words: int, bits: int, positions: int) -> DataFrame:
-    """(bucket, n) of the starts of so many words, where all shorter ones are hot; pre-aggregated."""
+def _start_counts(codes: DataFrame, starts: Starts, words: int, bits: int, ranges_log: int, least: int, hot: int, positions: int) -> tuple[Bitmap, Bitmap, int]:
+    """Which buckets of starts of so many words, where all shorter ones are hot, hold `least` positions or
+    more, and which more than `hot`; and the sum of the positions in the former.
+
+    A task counts the buckets of a slice and sends them, by range of buckets, as differences and counts.
+    Buckets come from a hash, so ranges are even, and a slice has a bucket once.
+    """
     shared = codes.sparkSession.sparkContext.broadcast(starts)
+    within = bits - ranges_log
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _gathered(batches, positions):
@@ -200,23 +214,45 @@ def _start_counts(codes: DataFrame, starts: Starts, words: int, bits: int, posit
             at = np.flatnonzero(depth >= words)
             at = at[shared.value.routes(part, at, depth) >= words]
             found, n = np.unique(mixed([part[at + j] for j in range(words)]) >> np.uint64(64 - bits), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["bucket", "n"])
-
-    return codes.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-
-
-def collapsed(rows: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different rows with the sums of their weights."""
-    if not len(rows):
-        return rows, weights
-    key = mixed(list(rows.T))
+            found = found.view(np.int64)
+            cuts = np.searchsorted(found, np.arange((1 << ranges_log) + 1) << within)
+            some = np.flatnonzero(np.diff(cuts))
+            buckets = [planes(np.diff(found[cuts[r] : cuts[r + 1]], prepend=r << within)) for r in some.tolist()]
+            counts = [planes(n[cuts[r] : cuts[r + 1]]) for r in some.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(buckets, pa.binary()), pa.array(counts, pa.binary())], ["range", "buckets", "counts"])
+
+    def add(key: tuple, group: pa.Table) -> pa.Table:
+        total = np.zeros(1 << within, np.int64)
+        for buckets, counts in zip(group.column("buckets").to_pylist(), group.column("counts").to_pylist(), strict=True):
+            total[np.cumsum(from_planes(buckets), dtype=np.int64)] += from_planes(counts)
+        often = total >= least
+        sets = [np.packbits(x, bitorder="little").tobytes() for x in (often, total > hot)]
+        return pa.table({"range": pa.array([key[0].as_py()], pa.int32()), "often": [sets[0]], "hot": [sets[1]], "n": [int(total[often].sum())]})
+
+    often, crowded, n = Bitmap(bits), Bitmap(bits), 0
+    size = 1 << within >> 3
+    for r in codes.mapInArrow(count, "range int, buckets binary, counts binary").groupBy("range").applyInArrow(add, "range int, often binary, hot binary, n long").collect():
+        part = slice(r["range"] * size, (r["range"] + 1) * size)
+        often.set[part] = np.frombuffer(bytes(r["often"]), np.uint8)
+        crowded.set[part] = np.frombuffer(bytes(r["hot"]), np.uint8)
+        n += r["n"]
+    return often, crowded, n
+
+
+def collapsed(columns: list[np.ndarray], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each different row of these columns, where it stands first, and the sum of its weights."""
+    if not len(weights):
+        return np.zeros(0, np.int64), weights
+    key = mixed(columns)
     order = np.argsort(key, kind="stable")
-    same = key[order][1:] == key[order][:-1]
-    if (rows[order[1:][same]] != rows[order[:-1][same]]).any():  # two rows with one hash
-        order = np.lexsort(rows.T)
-        same = (rows[order][1:] == rows[order][:-1]).all(1)
+    key = key[order]
+    same = key[1:] == key[:-1]
+    pairs = np.flatnonzero(same)
+    if any((c[order[pairs + 1]] != c[order[pairs]]).any() for c in columns):  # two rows with one hash
+        order = np.lexsort(columns)
+        same = np.all([c[order[1:]] == c[order[:-1]] for c in columns], axis=0)
     first = np.flatnonzero(np.r_[True, ~same])
-    return rows[order[first]], np.add.reduceat(weights[order], first)
+    return order[first], np.add.reduceat(weights[order], first)
 
 
 def partitioned(rows: np.ndarray, weights: np.ndarray, least: int, shortest: int) -> Iterator[tuple[int, int, int]]:
@@ -247,7 +283,18 @@ def partitioned(rows: np.ndarray, weights: np.ndarray, least: int, shortest: int
                 todo.append((equal, depth + 1))
 
 
-RECORD = np.dtype([("words", "<u8", LONGEST), ("weight", "<i8"), ("route", "<i8")])
+def packed(words: np.ndarray, weights: np.ndarray) -> bytes:
+    """Suffixes (rows of LONGEST hashes) and weights, with each hash once."""
+    names, ids = np.unique(words.T.ravel(), return_inverse=True)
+    head = np.array([len(weights), len(names)], "<u8").tobytes()
+    return head + names.astype("<u8").tobytes() + planes(ids) + planes(weights)
+
+
+def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n, names = np.frombuffer(blob, "<u8", 2).astype(int).tolist()
+    at = 16 + 8 * names
+    ids = from_planes(blob[at : at + 4 * LONGEST * n])
+    return np.frombuffer(blob, "<u8", names, 16)[ids].reshape(LONGEST, n).T, from_planes(blob[at + 4 * LONGEST * n :]).astype(np.int64)
 
 
 def phrase_counts(codes: DataFrame, starts: Starts, least: int, shards: int, positions: int) -> DataFrame:
@@ -258,50 +305,54 @@ def phrase_counts(codes: DataFrame, starts: Starts, least: int, shards: int, pos
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _gathered(batches, positions):
             depth = shared.value.depths(part)
-            padded = np.r_[part, np.zeros(LONGEST, np.uint64)]
             at = np.flatnonzero(depth >= 2)
-            words = np.stack([np.where(depth[at] > j, padded[at + j], np.uint64(0)) for j in range(LONGEST)], axis=1)
             by = shared.value.routes(part, at, depth)
-            words, weights = collapsed(np.c_[words, by.astype(np.uint64)], np.ones(len(at), np.int64))
-            words, by = words[:, :LONGEST], words[:, LONGEST].astype(np.int64)
+            padded = np.r_[part, np.zeros(LONGEST, np.uint64)]
+            columns = [np.where(depth[at] > j, padded[at + j], np.uint64(0)) for j in range(LONGEST)]
+            first, weights = collapsed(columns, np.ones(len(at), np.int64))
+            words, by = np.stack([c[first] for c in columns], axis=1), by[first]
+            del columns, padded, depth
             shard = np.zeros(len(words), np.int64)
             for n in range(2, LONGEST + 1):
                 here = np.flatnonzero(by == n)
                 shard[here] = (mixed([words[here, j] for j in range(n)]) % np.uint64(shards)).astype(np.int64)
-            records = np.zeros(len(words), RECORD)
-            records["words"], records["weight"], records["route"] = words, weights, by
-            order = np.argsort(shard, kind="stable")
-            shard, records = shard[order], records[order]
-            first = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]) if len(shard) else np.zeros(0, np.int64)
-            last = np.r_[first[1:], len(shard)]
-            for k in range(0, len(first), 1000):
-                blobs = [records[a:b].tobytes() for a, b in zip(first[k : k + 1000], last[k : k + 1000], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(shard[first[k : k + 1000]]), pa.array(blobs, pa.binary())], ["shard", "records"])
-
-    def sort(group: pa.Table) -> pa.Table:
-        records = np.frombuffer(b"".join(group.column("records").to_pylist()), RECORD)
-        phrases, counts = [], []
-        for n in np.unique(records["route"]).tolist():
-            here = records[records["route"] == n]
-            words, weights = collapsed(here["words"], here["weight"])
-            for length, row, count in partitioned(words, weights, least, n):
-                phrases.append(words[row, :length].view(np.int64))
-                counts.append(count)
-            for length in range(2, n):  # a hot start lies in several shards: its parts are added up later
-                rows, sums = collapsed(words[:, :length].copy(), weights)
-                phrases.extend(rows.view(np.int64))
-                counts += sums.tolist()
+            name = shard * (LONGEST + 1) + by
+            order = np.argsort(name, kind="stable")
+            starts_at, sizes = runs(name[order])
+            for k in range(0, len(starts_at), 1000):
+                some = [order[a : a + n] for a, n in zip(starts_at[k : k + 1000].tolist(), sizes[k : k + 1000].tolist(), strict=True)]
+                ones = [x[0] for x in some]
+                blobs = pa.array([packed(words[x], weights[x]) for x in some], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(shard[ones]), pa.array(by[ones], pa.int32()), blobs], ["shard", "route", "suffixes"])
+
+    def sort(key: tuple, group: pa.Table) -> pa.Table:
+        route, phrases, counts = key[1].as_py(), [], []
+        parts = [unpacked(blob) for blob in group.column("suffixes").to_pylist()]
+        words, weights = np.concatenate([w for w, _ in parts]), np.concatenate([n for _, n in parts])
+        del parts
+        first, weights = collapsed(list(words.T), weights)
+        words = words[first]
+        for length, row, count in partitioned(words, weights, least, route):
+            phrases.append(words[row, :length].view(np.int64))
+            counts.append(count)
+        for length in range(2, route):  # a hot start lies in several shards: its parts are added up later
+            first, sums = collapsed(list(words[:, :length].T), weights)
+            phrases.extend(words[first, :length].view(np.int64))
+            counts += sums.tolist()
         return pa.table({"phrase": pa.array(phrases, pa.list_(pa.int64())), "a": pa.array(counts, pa.int64())})
 
-    routed = codes.mapInArrow(route, "shard long, records binary")
-    found = routed.groupBy("shard").applyInArrow(sort, "phrase array<long>, a long")
+    routed = codes.mapInArrow(route, "shard long, route int, suffixes binary")
+    found = routed.groupBy("shard", "route").applyInArrow(sort, "phrase array<long>, a long")
     return found.groupBy("phrase").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
 
 
-def _words(codes: DataFrame) -> DataFrame:
-    """(hash, lang, word, f, one) of every word; one is false if two words share the hash."""
+def _frequent(rows: DataFrame, least: int) -> DataFrame:
+    """(hash, lang, word, f, one) of every hash that `least` words or more have; one is false if they are
+    not all the same. Hashes are counted; only what is frequent is then looked up as text."""
+    counted = rows.where("hash IS NOT NULL")
+    often = stored(counted.groupBy("hash").agg(F.sum("n").alias("f")).where(F.col("f") >= least))
     name = F.struct("lang", "word")
-    found = codes.where("hash IS NOT NULL").groupBy("hash").agg(F.min(name).alias("w"), F.max(name).alias("v"), F.sum("n").alias("f"))
+    found = counted.select("hash", "lang", "word").join(often, "hash").groupBy("hash").agg(F.min(name).alias("w"), F.max(name).alias("v"), F.min("f").alias("f"))
     return found.select("hash", "w.lang", "w.word", "f", (F.col("w") == F.col("v")).alias("one"))
 
 
@@ -311,8 +362,9 @@ def collocations(df: DataFrame, lang_column: str = "lang", text_column: str = "t
     Words are counted, then the pairs of frequent words by the bucket of their hash; the bitmaps of
     frequent buckets, of bounded size, cut suffixes short that can hold no frequent phrase. What is left
     is routed by its leading two words to shards, of which each is sorted as in `partitioned`; a start
-    that more than `hot` positions share is routed by a word more. Words stand as hashes under which
-    no two words of the table are equal: that is checked, and the hash is seeded anew if they are.
+    that more than `hot` positions share is routed by a word more. Words stand as hashes by which
+    no frequent word equals any other word of the table: that is checked, and the hash is seeded anew
+    if one does.
 
     A null lang is `und`; null and empty texts hold nothing; repeated rows count as often as they
     occur; other columns are ignored; without candidates, or rows, the result is empty.
@@ -320,26 +372,22 @@ def collocations(df: DataFrame, lang_column: str = "lang", text_column: str = "t
     spark = df.sparkSession
     for seed in range(100):
         rows = stored(coded(df, lang_column, text_column, seed))
-        words = stored(_words(rows))
-        if not words.where("NOT one").head(1):
+        frequent = stored(_frequent(rows, least))
+        if not frequent.where("NOT one").head(1):
             break
-    frequent = words.where(F.col("f") >= least)
-    totals = stored(words.groupBy("lang").agg(F.sum("f").alias("n")))
+    totals = stored(rows.where("hash IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n")))
     tokens = int(totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     bits = bits or min(MOST_BITS, max(LEAST_BITS, (tokens // 8).bit_length()))
+    ranges_log = min(bits - 3, max(partitions(spark), tokens // COUNTED).bit_length())
     codes = rows.where("codes IS NOT NULL").select("codes")
-    starts = Starts(_bitmap(frequent.select(_bucket(F.col("hash"), bits).alias("bucket")), bits))
-    pairs = stored(_start_counts(codes, starts, 2, bits, positions).where(F.col("n") >= least))
-    starts.pairs = _bitmap(pairs, bits)
-    suffixes = int(pairs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
-    crowded = pairs.where(F.col("n") > hot)
+    starts = Starts(_of_words(frequent, bits))
+    starts.pairs, crowded, suffixes = _start_counts(codes, starts, 2, bits, ranges_log, least, hot, positions)
     for length in range(3, LONGEST + 1):
-        bitmap = _bitmap(crowded, bits)
-        if not bitmap.set.any():
+        if not crowded.set.any():
             break
-        starts.hot.append(bitmap)
+        starts.hot.append(crowded)
         if length < LONGEST:
-            crowded = _start_counts(codes, starts, length, bits, positions).where(F.col("n") > hot)
+            _, crowded, _ = _start_counts(codes, starts, length, bits, ranges_log, least, hot, positions)
     shards = max(partitions(spark), suffixes // shard + 1)
     counts = stored(phrase_counts(codes, starts, least, shards, positions))
 
