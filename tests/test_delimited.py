@@ -165,3 +165,20 @@ def test_delimiters_that_overlap_themselves(spark):
     cases = {"a|||": ("a", "|", None), "a||": ("a", None, None), "||||": (None, None, None), "": ("", None, None), "|||b": ("", "|b", None), "a||b||||": ("a", "b", None)}
     for message, expected in cases.items():
         assert decode(spark, message, schema, field_delimiter="||") == expected, message
+
+
+def test_maps_by_one_character_and_by_several_agree(spark):
+    import random
+
+    from topictables.functions.delimited import bad_map_entry, string_map
+
+    rng = random.Random(2)
+    texts = ["".join(rng.choices("ab:,\n é", [3, 3, 3, 3, 1, 1, 1], k=rng.randint(0, 14))) for _ in range(1500)]
+    df = spark.createDataFrame([(t, t.replace(",", ";;").replace(":", "==")) for t in texts], "one string, two string")
+    valid = df.filter(~bad_map_entry(F.col("one")))
+    rows = valid.select("one", string_map(F.col("one")).alias("a"), string_map(F.col("two"), ";;", "==").alias("b")).collect()
+    assert len(rows) > 800 and any(len(r.a) > 2 for r in rows)
+    for r in rows:
+        assert r.a == r.b, r.one
+        entries = [e.split(":") for e in r.one.rstrip(",").split(",")] if r.one.strip(",") or not r.one else []
+        assert r.a == {e[0]: e[1] if len(e) > 1 else "" for e in entries}, r.one

@@ -91,6 +91,8 @@ def string_map(
     An entry without a value gets "", parts after the second are dropped. Entries for which
     `bad_map_entry` holds have no key; check that first.
     """
+    if len(entry_delimiter) == len(key_delimiter) == 1 and entry_delimiter != key_delimiter:
+        return _extracted_map(field, entry_delimiter, key_delimiter)
 
     def to_map(entries):
         keys = F.transform(entries, _key)
@@ -104,6 +106,33 @@ def string_map(
     return _let(F.transform(entries, lambda entry: F.split(entry, split_key)), to_map)
 
 
+def _extracted_map(field: Column, entry_delimiter: str, key_delimiter: str) -> Column:
+    """The same where both delimiters are one character: keys and values are extracted in two passes of
+    a pattern over the text, in which every entry is led by a delimiter."""
+    stripped = strip_trailing(field, entry_delimiter)
+    entry, key = (f"\\x{{{ord(c):x}}}" for c in (entry_delimiter, key_delimiter))
+    pattern = F.lit(f"{entry}([^{entry}{key}]*)(?:{key}([^{entry}{key}]*))?[^{entry}]*")
+    text = F.concat(F.lit(entry_delimiter), stripped)
+    parts = F.array(F.regexp_extract_all(text, pattern, F.lit(1)), F.regexp_extract_all(text, pattern, F.lit(2)))
+
+    def to_map(found: Column) -> Column:
+        keys, values = F.get(found, F.lit(0)), F.get(found, F.lit(1))
+        names = F.array_distinct(keys)
+        last_first = F.array(F.reverse(keys), F.reverse(values))
+        return F.when(F.size(names) == F.size(keys), F.map_from_arrays(keys, values)).otherwise(
+            F.map_from_arrays(names, _let(last_first, lambda turned: _last_values(names, turned)))
+        )
+
+    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    return F.when((stripped == "") & (field != ""), empty).otherwise(_let(parts, to_map))
+
+
+def _last_values(names: Column, turned: Column) -> Column:
+    """The last value of each key, out of keys and values that are turned round."""
+    place = lambda name: F.array_position(F.get(turned, F.lit(0)), name).cast("int") - 1
+    return F.transform(names, lambda name: F.get(F.get(turned, F.lit(1)), place(name)))
+
+
 def _key(entry: Column) -> Column:
     return F.get(entry, F.lit(0))
 
