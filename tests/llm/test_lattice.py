@@ -121,3 +121,18 @@ def test_nothing_learned_and_no_rows(spark):
     assert found[1]["train_tokens"] == 0 and found[1]["n_known"] == 0 and found[2]["n_tokens"] == 1
     assert all(math.isfinite(r["score"]) and math.isfinite(r["base_score"]) for r in found.values())
     assert lattice.score(df.limit(0), "learned").count() == 0
+
+
+def test_pieces_score_is_the_lattice_alone(spark):
+    rows = [(1, "a bee a sea", True), (2, "bee", True), (3, "unseen sea", False), (4, None, False), (5, "", True)]
+    df = spark.createDataFrame([(k, t, learned, "x", 0.0, "w") for k, t, learned in rows], SCHEMA)
+    path = lattice.vocabulary_path()
+    weights = np.append(lattice.vocabulary(path)[1], -np.inf)
+    alone = lattice.known_lattice(path)
+    ends = 3 / 8  # three texts to learn from, of five words
+    for hot in (0, 100):
+        found = {r["id"]: r["pieces_score"] for r in lattice.score(df, "learned", rounds=0, hot_words=hot).collect()}
+        for key, text, _ in rows:
+            logs = lattice.log_likelihoods(alone, weights, (text or "").encode().split()) if text else np.zeros(0)
+            expected = (logs.sum() + len(logs) * math.log(1 - ends) + math.log(ends)) / math.log(10)
+            assert math.isclose(found[key], expected, rel_tol=1e-9)

@@ -209,7 +209,7 @@ def known_lattice(path: str) -> Lattice:
 
 
 def score(docs: DataFrame, learned: str, id_column: str = "doc_id", text_column: str = "text", path: str | None = None, hot_words: int = HOT_WORDS, rounds: int = ROUNDS) -> DataFrame:
-    """(id, n_tokens, n_known, train_tokens, base_score, score) of every row.
+    """(id, n_tokens, n_known, train_tokens, base_score, score, pieces_score) of every row.
 
     learned names a boolean column: rows to learn from. A text, lower-cased in A-Z, is its words and one
     end. score is the log10 of its probability, summed over all segmentations by a forward recursion in
@@ -217,8 +217,9 @@ def score(docs: DataFrame, learned: str, id_column: str = "doc_id", text_column:
     learn from. A seen word is an edge of the lattice too: it has its share of all tokens, less a discount
     (the usual estimate from the words seen once and twice), and what is discounted weighs the paths of
     pieces; so the score is a probability over all texts. No piece crosses a word, so a text's score is
-    the sum of its words' and the end's, and each different word is run once. base_score is that of a
-    word unigram model with BASE_ADDED to each count.
+    the sum of its words' and the end's, and each different word is run once. pieces_score is the same
+    without the edges of seen words: every token is a word, by the pieces alone, or the end, as often as
+    it was seen. base_score is that of a word unigram model with BASE_ADDED to each count.
 
     Null and empty texts are the end alone. A null flag is false. Rows that repeat are each scored and
     each learned from; ids may be null. With nothing to learn from, pieces keep the vocabulary's weights,
@@ -241,15 +242,18 @@ def score(docs: DataFrame, learned: str, id_column: str = "doc_id", text_column:
     shared = spark.sparkContext.broadcast((path, weights))
     whole = tokens + BASE_ADDED * (types + 1)
     rest = discount * types / tokens if tokens else 0.5
+    ends = texts / tokens if texts and tokens > texts else 0.5
+    going_on = math.log1p(-ends)
 
     def judge(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         path, weights = shared.value
-        logs = log_likelihoods(known_lattice(path), weights, batch.column(0).cast(pa.binary()).to_pylist())
+        pieces = log_likelihoods(known_lattice(path), weights, batch.column(0).cast(pa.binary()).to_pylist())
         seen = np.maximum(batch.column(1).to_numpy() - discount, 0) / max(1, tokens)
-        logs = np.logaddexp(np.log(seen, out=np.full(len(seen), -np.inf), where=seen > 0), math.log(rest) + logs)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(logs / LN10)], ["word", "c", "score"])
+        logs = np.logaddexp(np.log(seen, out=np.full(len(seen), -np.inf), where=seen > 0), math.log(rest) + pieces)
+        columns = [pa.array(logs / LN10), pa.array((pieces + going_on) / LN10)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["word", "c", "score", "pieces"])
 
-    judged = stored(each_batch(counted, judge, "word string, c long, score double"))
+    judged = stored(each_batch(counted, judge, "word string, c long, score double, pieces double"))
     sizes = judged.groupBy(F.floor(F.log2(F.col("c") + 1) * 16).alias("size")).count().collect()
     left, least = hot_words, 1 << 62
     for r in sorted(sizes, key=lambda r: -r["size"]):
@@ -259,7 +263,8 @@ def score(docs: DataFrame, learned: str, id_column: str = "doc_id", text_column:
         least = r["size"]
     hot = judged.where(F.floor(F.log2(F.col("c") + 1) * 16) >= least).toPandas()
     base = lambda c: math.log10((c + BASE_ADDED) / whole)
-    hot_scores = {w.encode(): (base(c), s) for w, c, s in zip(hot["word"], hot["c"].tolist(), hot["score"].tolist(), strict=True)}
+    values = zip(hot["word"], hot["c"].tolist(), hot["score"].tolist(), hot["pieces"].tolist(), strict=True)
+    hot_scores = {w.encode(): (base(c), s, p) for w, c, s, p in values}
     known = spark.sparkContext.broadcast(hot_scores)
     end_base, end_score = base(texts), math.log10((texts - discount) / tokens if texts else 0.5)
 
@@ -272,7 +277,7 @@ def score(docs: DataFrame, learned: str, id_column: str = "doc_id", text_column:
             rows, names, words, counts, heads = [], [], [], [], []
             for row, text in enumerate(byte_texts(part.column(1))):
                 name = xxhash.xxh3_128_digest(text)
-                n_known, b, s, n = int(texts > 0), end_base, end_score, 1
+                n_known, b, s, p, n = int(texts > 0), end_base, end_score, math.log10(ends), 1
                 for word, times in Counter(text.lower().split()).items():
                     n += times
                     found = table_.get(word)
@@ -280,6 +285,7 @@ def score(docs: DataFrame, learned: str, id_column: str = "doc_id", text_column:
                         n_known += times
                         b += times * found[0]
                         s += times * found[1]
+                        p += times * found[2]
                     else:
                         rows.append(row)
                         names.append(name)
@@ -290,14 +296,14 @@ def score(docs: DataFrame, learned: str, id_column: str = "doc_id", text_column:
                 names.append(name)
                 words.append(" " + name.hex())  # no word: a null would send all heads to one task of the join
                 counts.append(None)
-                heads.append({"copies": 1, "n_tokens": n, "n_known": n_known, "base": b, "score": s})
+                heads.append({"copies": 1, "n_tokens": n, "n_known": n_known, "base": b, "score": s, "pieces": p})
             ids = part.column(0).take(pa.array(rows, pa.int64()))
-            head = pa.struct([("copies", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+            head = pa.struct([("copies", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("pieces", pa.float64())])
             yield pa.RecordBatch.from_arrays([ids, pa.array(names, pa.binary()), pa.array(words, pa.string()), pa.array(counts, pa.int64()), pa.array(heads, head)], ["id", "name", "word", "times", "head"])
 
     kind = source.schema["id"].dataType.simpleString()
-    parts = each_batch(source.select("id", "text"), split, f"id {kind}, name binary, word string, times long, head struct<copies:long,n_tokens:long,n_known:long,base:double,score:double>")
-    rare = judged.where(F.floor(F.log2(F.col("c") + 1) * 16) < least).select("word", "c", F.col("score").alias("log"))
+    parts = each_batch(source.select("id", "text"), split, f"id {kind}, name binary, word string, times long, head struct<copies:long,n_tokens:long,n_known:long,base:double,score:double,pieces:double>")
+    rare = judged.where(F.floor(F.log2(F.col("c") + 1) * 16) < least).select("word", "c", F.col("score").alias("log"), F.col("pieces").alias("pieces_log"))
     joined = parts.join(rare, "word", "left")
     times = F.coalesce("times", F.lit(0))
     word_base = F.log10((F.col("c") + BASE_ADDED) / whole)
@@ -307,14 +313,16 @@ def score(docs: DataFrame, learned: str, id_column: str = "doc_id", text_column:
         F.sum(F.coalesce("head.n_known", F.when(F.col("c") > 0, times), F.lit(0))).alias("n_known"),
         F.sum(F.coalesce("head.base", times * word_base)).alias("base"),
         F.sum(F.coalesce("head.score", times * F.col("log"))).alias("score"),
+        F.sum(F.coalesce("head.pieces", times * F.col("pieces_log"))).alias("pieces"),
     )
     share = lambda c: (F.col(c) / F.col("copies")).alias(c)
-    each = summed.select("id", (F.col("n_tokens") / F.col("copies")).cast("long").alias("n_tokens"), (F.col("n_known") / F.col("copies")).cast("long").alias("n_known"), share("base"), share("score"), F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
-    return each.select("id", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
+    each = summed.select("id", (F.col("n_tokens") / F.col("copies")).cast("long").alias("n_tokens"), (F.col("n_known") / F.col("copies")).cast("long").alias("n_known"), share("base"), share("score"), share("pieces"), F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
+    return each.select("id", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score", F.col("pieces").alias("pieces_score"))
 
 
 def op1_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scores of every document; null texts and ids, which are not held out, as in `score`."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", (remainder(F.col("doc_id"), 10) != 0).alias("learned"))
     found = score(docs, "learned")
     held_out = F.coalesce(remainder(F.col("id"), 10) == 0, F.lit(False))
-    return found.select(F.col("id").alias("doc_id"), held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return found.select(F.col("id").alias("doc_id"), held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "pieces_score")
