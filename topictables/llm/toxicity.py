@@ -7,7 +7,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +22,9 @@ LEAST_ROWS, DEVIATIONS, MOST = 2, 3.5, 50_000
 #: the most frequent PAIRABLE of both at most. A pair counts if chance gives as much among all pairs that are
 #: looked at with probability CHANCE at most; of more than MOST_PAIRED terms in such pairs the strongest are taken.
 FREQUENT_ROWS, FREQUENT_SHARE, PAIRABLE, CHANCE, MOST_PAIRED = 5, 0.01, 8192, 0.05, 2000
-#: Terms of which the pairs are counted at a time.
-PAIR_BLOCK = 1024
+#: Terms, a multiple of 8, of which the pairs are counted at a time, in so many rows; entries of rows that
+#: the descent looks at together; texts that are hashed or scored together.
+PAIR_BLOCK, ROW_BLOCK, ENTRIES, TEXTS = 1024, 2048, 200_000, 500
 FACTORS, STEPS, PAIR_DECAY = 8, 300, 1e-4
 #: From this score on a text counts as toxic.
 TOXIC = 0.7
@@ -35,7 +35,7 @@ WORD = re.compile(r"[^\W_]+")
 class Terms(dict):
     """White-space separated word -> hashes of its terms, emptied when it has grown large."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __missing__(self, chunk: str) -> tuple[int, ...]:
         import xxhash
@@ -93,60 +93,91 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def machine_logits(bias, weights, factors, rows, columns, x, n, present=None):
-    """Logits of n rows in sparse form, and the sums that the gradient needs. The pairwise sum takes
-    `present` for x where it is given."""
+    """Logits of n rows in sparse form, whose numbers ascend, and the sums that the gradient needs. The
+    pairwise sum takes `present` for x where it is given."""
     parts = factors[columns] * (x if present is None else present)[:, None]
     sums = np.zeros((n, factors.shape[1]))
     squares = np.zeros(n)
-    np.add.at(sums, rows, parts)
-    np.add.at(squares, rows, (parts**2).sum(1))
+    if len(rows):
+        starts = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+        sums[rows[starts]] = np.add.reduceat(parts, starts, axis=0)
+        squares[rows[starts]] = np.add.reduceat((parts**2).sum(1), starts)
     linear = np.bincount(rows, weights[columns] * x, n)
     return bias + linear + 0.5 * ((sums**2).sum(1) - squares), sums, parts
 
 
+def term_counts(found: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(term, rows that hold it, toxic ones among them), by term."""
+    none = np.zeros(0, np.uint32)
+    names, rows = np.unique(np.concatenate([none, *found]), return_counts=True)
+    toxic_names, n = np.unique(np.concatenate([none, *(f for f, label in zip(found, y, strict=True) if label)]), return_counts=True)
+    toxic = np.zeros(len(names))
+    toxic[np.searchsorted(names, toxic_names)] = n
+    return names, rows, toxic
+
+
 def term_values(found: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(term, value) of the features: the smoothed log ratio of the toxic share among the rows that
     hold a term to that among all."""
-    every = np.concatenate(found) if found else np.zeros(0, np.uint32)
     share = np.clip(y.mean() if len(y) else 0, 1e-6, 1 - 1e-6)
-    names, inverse, rows = np.unique(every, return_inverse=True, return_counts=True)
-    toxic = np.bincount(inverse, np.repeat(y, [len(f) for f in found]).astype(float), len(names))
+    names, rows, toxic = term_counts(found, y)
+    some = rows >= LEAST_ROWS
+    names, rows, toxic = names[some], rows[some], toxic[some]
     z = (toxic - rows * share) / np.sqrt(rows * share * (1 - share))
-    strong = (rows >= LEAST_ROWS) & (np.abs(z) >= DEVIATIONS)
+    strong = np.abs(z) >= DEVIATIONS
     if strong.sum() > MOST:
         strong &= np.abs(z) >= np.sort(np.abs(z[strong]))[-MOST]
     value = np.log((toxic + 5 * share) / (rows + 5) / share)
     return names[strong], np.clip(value[strong], -3, 3)
 
 
+def presence(found: list[np.ndarray], names: np.ndarray) -> np.ndarray:
+    """Which row holds which of the names, a bit each."""
+    held = np.zeros((len(found), -(-len(names) // 8)), np.uint8)
+    for i, f in enumerate(found):
+        row = np.zeros(len(names), bool)
+        row[np.intersect1d(names, f, assume_unique=True, return_indices=True)[1]] = True
+        held[i] = np.packbits(row)
+    return held
+
+
 def pair_terms(found: list[np.ndarray], y: np.ndarray, expected: np.ndarray, strong: np.ndarray) -> np.ndarray:
     """The terms of the pairs that are toxic together more or less often than these expected shares of
     the rows say, however neutral each is alone. By chance, O toxic of N rows where P are expected have at most
     the probability exp(-O log(O / P) - (N - O) log((N - O) / (N - P))) (Hoeffding's bound), which is held
-    against the number of pairs."""
-    every = np.concatenate(found) if found else np.zeros(0, np.uint32)
-    names, counts = np.unique(every, return_counts=True)
+    against the number of pairs. Presence is kept as bits and taken out in blocks of rows and terms."""
+    names, counts, _ = term_counts(found, y)
     able = np.flatnonzero((counts >= max(FREQUENT_ROWS, FREQUENT_SHARE * len(y))) | np.isin(names, strong) & (counts >= FREQUENT_ROWS))
     able = np.sort(able[np.argsort(-counts[able], kind="stable")[:PAIRABLE]])
     names = names[able]
     if len(names) < 2:
         return names[:0]
-    held = np.zeros((len(y), len(names)), bool)
-    for i, f in enumerate(found):
-        held[i, np.intersect1d(names, f, assume_unique=True, return_indices=True)[1]] = True
+    toxic_first = np.argsort(-y, kind="stable")
+    held = presence([found[i] for i in toxic_first], names)
+    chance = expected[toxic_first].astype(np.float32)[:, None]
+    toxic_rows = int(y.sum())
     bound = np.log(len(names) * (len(names) - 1) / 2 / CHANCE)
     strength = np.zeros(len(names))
-    toxic = held[y == 1]
-    chance = expected.astype(np.float32)[:, None]
-    part = lambda rows, a: rows[:, a : a + PAIR_BLOCK].astype(np.float32)
+
+    def block(first: int, last: int, a: int) -> np.ndarray:
+        bits = held[first:last, a // 8 : (a + PAIR_BLOCK) // 8]
+        return np.unpackbits(bits, axis=1, count=min(PAIR_BLOCK, len(names) - a)).astype(np.float32)
+
+    # Blocks of rows end where the toxic ones do.
+    cuts = [*range(0, toxic_rows, ROW_BLOCK), *range(toxic_rows, len(y), ROW_BLOCK), len(y)]
     for a in range(0, len(names), PAIR_BLOCK):
-        left, left_toxic = part(held, a), part(toxic, a)
-        likely = left * chance
         for b in range(a, len(names), PAIR_BLOCK):
-            right = part(held, b)
-            n, o = left.T @ right, left_toxic.T @ part(toxic, b)
-            p = np.clip(likely.T @ right, 1e-6, np.maximum(n - 1e-6, 1e-6))
-            clean, unlikely = n - o, np.maximum(n - p, 1e-6)
+            shape = min(PAIR_BLOCK, len(names) - a), min(PAIR_BLOCK, len(names) - b)
+            o, clean, p = (np.zeros(shape, np.float32) for _ in range(3))
+            for first, last in zip(cuts[:-1], cuts[1:], strict=True):
+                left, right = block(first, last, a), block(first, last, b)
+                both = o if first < toxic_rows else clean
+                both += left.T @ right
+                left *= chance[first:last]
+                p += left.T @ right
+            n = o + clean
+            p = np.clip(p, 1e-6, np.maximum(n - 1e-6, 1e-6))
+            unlikely = np.maximum(n - p, 1e-6)
             against = o * np.log(np.maximum(o, 1e-6) / p) + clean * np.log(np.maximum(clean, 1e-6) / unlikely)
             if a == b:
                 np.fill_diagonal(against, 0)
@@ -157,20 +188,51 @@ def pair_terms(found: list[np.ndarray], y: np.ndarray, expected: np.ndarray, str
     return np.sort(names[paired[np.argsort(-strength[paired], kind="stable")[:MOST_PAIRED]]])
 
 
-def descend(y: np.ndarray, bias: float, n: int, rows: np.ndarray, columns: np.ndarray, x: np.ndarray, present: np.ndarray | None) -> list[np.ndarray]:
-    """(bias, weights, factors) of n terms after STEPS steps; without `present` the factors are zero."""
-    start = np.zeros((n, FACTORS)) if present is None else np.random.default_rng(7).normal(0, 0.02, (n, FACTORS))
+@dataclass
+class Entries:
+    """Terms of rows in sparse form: of row i those from starts[i] to starts[i + 1]."""
+
+    starts: np.ndarray
+    columns: np.ndarray
+    x: np.ndarray
+
+    @classmethod
+    def of(cls, columns: list[np.ndarray], x: list[np.ndarray]) -> Entries:
+        none = [np.zeros(0)]
+        starts = np.cumsum([0, *map(len, columns)])
+        return cls(starts, np.concatenate(none + columns).astype(np.int32), np.concatenate(none + x).astype(np.float32))
+
+    def blocks(self) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+        """(rows, row within them, column, x) of about ENTRIES entries at a time."""
+        first = 0
+        while first < len(self.starts) - 1:
+            last = max(first + 1, int(np.searchsorted(self.starts, self.starts[first] + ENTRIES, "right")) - 1)
+            part = slice(self.starts[first], self.starts[last])
+            within = np.repeat(np.arange(last - first), np.diff(self.starts[first : last + 1]))
+            yield slice(first, last), within, self.columns[part].astype(np.int64), self.x[part].astype(float)
+            first = last
+
+
+def descend(y: np.ndarray, bias: float, n: int, entries: Entries, pairs: bool) -> list[np.ndarray]:
+    """(bias, weights, factors) of n terms after STEPS steps; without `pairs` the factors are zero."""
+    start = np.random.default_rng(7).normal(0, 0.02, (n, FACTORS)) if pairs else np.zeros((n, FACTORS))
     values_of = [np.array([bias]), np.zeros(n), start]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in values_of]
-    pairs = np.zeros(0, np.int64) if present is None else np.flatnonzero(present)
-    at, of = rows[pairs], columns[pairs]
     for step in range(1, STEPS + 1):
         bias, weights, factors = values_of
-        paired, sums, parts = machine_logits(bias[0], weights * 0, factors, at, of, np.ones(len(at)), len(y))
-        error = (sigmoid(paired + np.bincount(rows, weights[columns] * x, len(y))) - y) / len(y)
-        grad_v = np.zeros_like(factors)
-        np.add.at(grad_v, of, error[at][:, None] * (sums[at] - parts))
-        gradients = [np.array([error.sum()]), np.bincount(columns, error[rows] * x, n) + 1e-5 * weights, grad_v + PAIR_DECAY * factors]
+        gradients = [np.zeros(1), 1e-5 * weights, PAIR_DECAY * factors]
+        for rows, at, columns, x in entries.blocks():
+            if pairs:
+                logits, sums, parts = machine_logits(bias[0], weights, factors, at, columns, x, rows.stop - rows.start, np.ones(len(x)))
+            else:
+                logits = bias[0] + np.bincount(at, weights[columns] * x, rows.stop - rows.start)
+            error = (sigmoid(logits) - y[rows]) / len(y)
+            gradients[0] += error.sum()
+            gradients[1] += np.bincount(columns, error[at] * x, n)
+            if pairs:
+                slope = error[at][:, None] * (sums[at] - parts)
+                for f in range(FACTORS):
+                    gradients[2][:, f] += np.bincount(columns, slope[:, f], n)
         for p, g, (m, s) in zip(values_of, gradients, moments, strict=True):
             m *= 0.9
             m += 0.1 * g
@@ -191,7 +253,8 @@ def fit(found: list[np.ndarray], y: np.ndarray) -> Machine:
     bias = float(np.log(share / (1 - share)))
     if not 0 < y.sum() < len(y):
         return Machine(names, values, bias, np.zeros(len(names)), np.zeros((len(names), FACTORS)))
-    rows, columns, x = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+    columns: list[np.ndarray] = [np.zeros(0, np.int64)] * len(y)
+    x = [np.zeros(0)] * len(y)
     half = np.random.default_rng(3).permutation(len(y)) % 2
     for side in (0, 1):
         others = np.flatnonzero(half != side)
@@ -199,57 +262,51 @@ def fit(found: list[np.ndarray], y: np.ndarray) -> Machine:
         common, mine, theirs = np.intersect1d(names, known, return_indices=True)
         for i in np.flatnonzero(half == side):
             _, at, _ = np.intersect1d(common, found[i], return_indices=True)
-            rows.append(np.full(len(at), i))
-            columns.append(mine[at])
-            x.append(worth[theirs[at]])
-    rows, columns, x = np.concatenate(rows), np.concatenate(columns).astype(np.int64), np.concatenate(x)
-    alone_bias, alone_weights, none = descend(y, bias, len(names), rows, columns, x, None)
-    expected = sigmoid(machine_logits(alone_bias[0], alone_weights, none, rows, columns, x, len(y))[0])
+            columns[i], x[i] = mine[at], worth[theirs[at]]
+    entries = Entries.of(columns, x)
+    alone_bias, alone_weights, _ = descend(y, bias, len(names), entries, False)
+    expected = np.concatenate([sigmoid(alone_bias[0] + np.bincount(at, alone_weights[c] * v, rows.stop - rows.start)) for rows, at, c, v in entries.blocks()])
     paired = pair_terms(found, y, expected, names)
     every = np.union1d(names, paired)
-    columns = np.searchsorted(every, names)[columns]
-    present = np.ones(len(x))
-    if len(paired):
+    moved = np.searchsorted(every, names)
+    worth_alone = np.isin(every, names)
+    for i, f in enumerate(found):
         # A strong term of a pair is present in all its rows, also where the other half gives it no value.
-        valued = np.sort(rows * len(every) + columns)
-        more = [np.searchsorted(every, np.intersect1d(paired, f, assume_unique=True)) for f in found]
-        more_rows, more_columns = np.repeat(np.arange(len(y)), [len(m) for m in more]), np.concatenate(more)
-        new = ~np.isin(more_rows * len(every) + more_columns, valued)
-        more_rows, more_columns = more_rows[new], more_columns[new]
-        rows, columns = np.concatenate([rows, more_rows]), np.concatenate([columns, more_columns])
-        x = np.concatenate([x, (~np.isin(every, names))[more_columns].astype(float)])
-        present = np.ones(len(x))
+        known = moved[columns[i]]
+        more = np.setdiff1d(np.searchsorted(every, np.intersect1d(paired, f, assume_unique=True)), known)
+        columns[i], x[i] = np.concatenate([known, more]), np.concatenate([x[i], ~worth_alone[more]])
     every_value = np.ones(len(every))
-    every_value[np.searchsorted(every, names)] = values
-    final_bias, weights, factors = descend(y, bias, len(every), rows, columns, x, present)
+    every_value[moved] = values
+    final_bias, weights, factors = descend(y, bias, len(every), Entries.of(columns, x), True)
     return Machine(every, every_value, float(final_bias[0]), weights, factors)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic", sample: int = SAMPLE) -> Machine:
-    """Fit on about `sample` labelled rows at most, chosen by the hash of the id; rows of one id that
-    repeat are cut at twice that. Null labels and ids are left out. Only the machine (at most MOST
-    terms) comes to the driver."""
+    """Fit on about `sample` labelled rows at most, chosen by the hash of the id, which may be of any type;
+    rows of one id that repeat are cut at twice that. Null labels and ids are left out; an id with
+    several labels is toxic if one of them says so. Only the machine (at most MOST terms and
+    MOST_PAIRED) comes to the driver; the ids that are broadcast are as many as the sample."""
     known = labels.where(F.col(id_column).isNotNull() & F.col(label_column).isNotNull()).select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("y"))
+    known = known.groupBy("id").agg(F.max("y").alias("y"))
     share = min(1.0, sample / max(1, known.count()))
     taken = known.where((F.xxhash64(F.lit("fit"), "id").bitwiseAND(F.lit(0xFFFFFF).cast("long"))) < int(share * 0x1000000))
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
 
     def hashed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        blobs = [terms(t).tobytes() for t in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1), pa.array(blobs, pa.binary())], ["id", "y", "terms"])
+        blobs = [terms(t).tobytes() for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.binary())], ["y", "terms"])
 
-    rows = each_batch(texts.join(F.broadcast(taken), "id").select(F.col("id").cast("long"), "y", "text"), hashed, "id long, y int, terms binary")
+    rows = each_batch(texts.join(F.broadcast(taken), "id").select("y", "text"), hashed, "y int, terms binary", TEXTS)
 
-    def fitted(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        every = pd.concat([pd.DataFrame({"id": [], "y": [], "terms": []}), *parts])
-        every = every.sort_values(["id", "y", "terms"], ignore_index=True)
-        m = fit([np.frombuffer(t, np.uint32) for t in every["terms"]], every["y"].to_numpy(float))
-        yield pd.DataFrame({"names": [m.names.tobytes()], "values": [m.values.tobytes()], "bias": [m.bias], "weights": [m.weights.tobytes()], "factors": [m.factors.tobytes()]})
+    def fitted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = sorted((y, blob) for part in parts for y, blob in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True))
+        m = fit([np.frombuffer(t, np.uint32) for _, t in every], np.array([y for y, _ in every], float))
+        columns = [m.names.tobytes(), m.values.tobytes(), m.bias, m.weights.tobytes(), m.factors.tobytes()]
+        yield pa.RecordBatch.from_arrays([pa.array([c]) for c in columns], ["names", "values", "bias", "weights", "factors"])
 
-    model = rows.limit(2 * sample).repartition(1).mapInPandas(fitted, "names binary, values binary, bias double, weights binary, factors binary").collect()
-    if not model:
+    r = rows.limit(2 * sample).repartition(1).mapInArrow(fitted, "names binary, values binary, bias double, weights binary, factors binary").first()
+    if r is None:
         return fit([], np.zeros(0))
-    r = model[0]
     read = lambda blob, kind: np.frombuffer(bytes(blob), kind)
     return Machine(read(r["names"], np.uint32), read(r["values"], float), r["bias"], read(r["weights"], float), read(r["factors"], float).reshape(-1, FACTORS))
 
@@ -263,18 +320,19 @@ def scores(docs: DataFrame, machine: Machine, id_column: str = "doc_id", text_co
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), pa.array((score >= TOXIC).astype(np.int32))], ["id", "score", "predicted"])
 
     source = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    return each_batch(source, compute, f"id {source.schema['id'].dataType.simpleString()}, score double, predicted int")
+    return each_batch(source, compute, f"id {source.schema['id'].dataType.simpleString()}, score double, predicted int", TEXTS)
 
 
 def without_toxic(docs: DataFrame, machine: Machine, text_column: str = "text") -> DataFrame:
-    """The rows, all columns, that score below the threshold."""
+    """The rows, all columns, that score below the threshold. Null and empty texts share one score, that of
+    a text without known terms; null ids and repeated rows are judged like any other; an empty table stays empty."""
     shared = docs.sparkSession.sparkContext.broadcast(machine)
     at = docs.columns.index(text_column)
 
     def compute(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(shared.value.score(batch.column(at).to_pylist()) < TOXIC))
 
-    return each_batch(docs, compute, docs.schema)
+    return each_batch(docs, compute, docs.schema, TEXTS)
 
 
 def trained(spark: SparkSession, sf_dir: str) -> Machine:
@@ -283,6 +341,7 @@ def trained(spark: SparkSession, sf_dir: str) -> Machine:
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score of every document; null texts count as empty, a null id is not held out."""
     docs = table(spark, sf_dir, "documents")
     found = scores(docs, trained(spark, sf_dir))
     held_out = F.coalesce(remainder(F.col("id"), 3) == 1, F.lit(False))
