@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -115,6 +116,32 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.diff(np.r_[starts, len(values)])
 
 
+def best(df: DataFrame, group: str, order: list[Column], salt: Column, k: int) -> DataFrame:
+    """The first k rows of each group, in order, with their rank. A group may have a third of all rows:
+    the first k of each of its shares are found first, so no task sees more of it than that."""
+    share = Window.partitionBy(group, "_share").orderBy(*order)
+    shares = df.withColumn("_share", F.pmod(F.xxhash64(salt), F.lit(SHARES)))
+    some = shares.withColumn("_rank", F.row_number().over(share)).where(F.col("_rank") <= k).drop("_rank", "_share")
+    return some.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("rank") <= k)
+
+
+#: A component's smallest id goes to its members in so many shares.
+SHARES = 32
+
+
+def with_smallest(members: DataFrame, root: str, node: str, value: str, name: str) -> DataFrame:
+    """The rows, one per node, with the least value of all that have their root.
+
+    A root may have a third of all rows: values are pre-aggregated, and what goes back is dealt by
+    the hash of the node. Rows that are alone with their root take part in no join.
+    """
+    least = members.groupBy(root).agg(F.min(value).alias("_least"), F.count("*").alias("_n")).where("_n > 1")
+    share = F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))).alias("_share")
+    dealt = members.withColumn("_share", F.pmod(F.xxhash64(node), F.lit(SHARES)).cast("int"))
+    found = dealt.join(least.select(root, "_least", share), [root, "_share"], "left")
+    return found.withColumn(name, F.coalesce("_least", value)).drop("_share", "_least")
+
+
 def connected_components(edges: DataFrame, first: str, second: str) -> DataFrame:
     """(node, root) of every node of the edges that is not itself the smallest node of its component.
 
