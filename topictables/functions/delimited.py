@@ -117,22 +117,18 @@ def _extracted_map(field: Column, entry_delimiter: str, key_delimiter: str) -> C
 
     def to_map(found: Column) -> Column:
         keys, values = F.get(found, F.lit(0)), F.get(found, F.lit(1))
-        names = F.array_distinct(keys)
-        last_first = F.array(F.reverse(keys), F.reverse(values))
-        return F.when(F.size(names) == F.size(keys), F.map_from_arrays(keys, values)).otherwise(
-            F.map_from_arrays(names, _let(last_first, lambda turned: _last_values(names, turned)))
-        )
+        placed = F.arrays_zip(keys, F.sequence(F.lit(1), F.size(keys)), values)
+        placed = placed.cast("array<struct<key:string,position:int,value:string>>")
+        # No function here uses a variable of the one around it: Python functions over such a map
+        # would not be found by the planner.
+        return F.when(
+            F.size(F.array_distinct(keys)) == F.size(keys), F.map_from_arrays(keys, values)
+        ).otherwise(_let(F.sort_array(placed), _last_of_each_key))
 
     empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
     return F.when((stripped == "") & (field != ""), empty).otherwise(_let(parts, to_map))
 
 
-def _last_values(names: Column, turned: Column) -> Column:
-    """The last value of each key, out of keys and values that are turned round."""
-    place = lambda name: F.array_position(F.get(turned, F.lit(0)), name).cast("int") - 1
-    return F.transform(names, lambda name: F.get(F.get(turned, F.lit(1)), place(name)))
-
-
 def _key(entry: Column) -> Column:
     return F.get(entry, F.lit(0))
 

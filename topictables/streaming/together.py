@@ -186,7 +186,7 @@ def start_together(
     Batches are told apart by the checkpoint's path and their number, so several streams may write
     below one path.
     """
-    options = _options(df, routes, path) | {"writer": hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}
+    options = _options(df, routes, path) | {"writer": hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]}
     writer = _tagged(df, routes).writeStream.format(FORMAT).options(**options).outputMode("append")
     return _started(writer, checkpoint, available_now, every, name)
 
