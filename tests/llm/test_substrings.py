@@ -76,3 +76,22 @@ def test_automaton_statistics():
                     longest = n
             assert got[i] == longest
         before.append(segment)
+
+
+def test_settled_copies_are_dealt_by_their_document():
+    import pickle
+
+    import numpy as np
+    import pyarrow as pa
+    import zstandard
+
+    words = [f"w{i}" for i in range(60)]
+    blob = zstandard.ZstdCompressor().compress(" ".join(words).encode())
+    _, _, places, hashes = substrings.anchored(substrings.word_hashes([w.encode() for w in words]), np.array([0, 60]))
+    keys = [hashlib.sha256(str(i).encode()).digest()[: substrings.KEY_BYTES] for i in range(200)]
+    columns = [pa.array(keys), pa.array([False] * 200), pa.array(list(range(200))), pa.array([blob] * 200), pa.array([places.tolist()] * 200, pa.list_(pa.int32()))]
+    part = pa.RecordBatch.from_arrays(columns, ["key", "no_id", "id", "z", "at"])
+    for hot in (np.zeros(0, np.uint64), np.sort(hashes)):
+        found = substrings._segments(part, hot, 50)
+        settled = [len(pickle.loads(zstandard.ZstdDecompressor().decompress(b))[2]) for b in found.column(1).to_pylist()]
+        assert sum(settled) >= 199 and max(settled) < 0.2 * sum(settled)

@@ -278,7 +278,8 @@ def _segments(part: pa.RecordBatch, hot: np.ndarray, shards: int) -> pa.RecordBa
                 text = b" ".join(words[a : a + m + WINDOW - 1])
                 name = xxhash.xxh3_64_intdigest(text) if every[j] else anchor
                 if (name, text) in seen:
-                    done.setdefault(name % shards, []).append((keys[i], a, m))
+                    # Nothing is left to decide, so they go where their document leads, not to one shard.
+                    done.setdefault(int.from_bytes(keys[i][:8], "little") % shards, []).append((keys[i], a, m))
                 else:
                     seen.add((name, text))
                     rows.setdefault(name % shards, []).append((name, order, keys[i], a))
@@ -381,7 +382,10 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
 
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", length_column: str | None = None) -> DataFrame:
-    """All rows and columns, the text without repeated passages. A column of text lengths can be kept true."""
+    """All rows and columns, the text without repeated passages. A column of text lengths can be kept true.
+
+    Null and empty texts, and such without a repeat, stay as they are; of rows that repeat the first in
+    the order of `deduplicate` keeps its words; rows without id come last; an empty table stays empty."""
     found = deduplicate(docs, id_column, text_column, with_text=True)
     columns = []
     for c in docs.columns:
@@ -396,6 +400,7 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document; null texts and ids, repeats and empty tables as in `deduplicate`."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = deduplicate(docs)
     return found.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
