@@ -10,7 +10,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -116,15 +115,6 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.diff(np.r_[starts, len(values)])
 
 
-def best(df: DataFrame, group: str, order: list[Column], salt: Column, k: int) -> DataFrame:
-    """The first k rows of each group, in order, with their rank. A group may have a third of all rows:
-    the first k of each of its shares are found first, so no task sees more of it than that."""
-    share = Window.partitionBy(group, "_share").orderBy(*order)
-    shares = df.withColumn("_share", F.pmod(F.xxhash64(salt), F.lit(SHARES)))
-    some = shares.withColumn("_rank", F.row_number().over(share)).where(F.col("_rank") <= k).drop("_rank", "_share")
-    return some.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("rank") <= k)
-
-
 #: A component's smallest id goes to its members in so many shares.
 SHARES = 32
 

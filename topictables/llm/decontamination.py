@@ -207,4 +207,5 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, doc_text: str = "text",
 
 
 def op7_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The overlaps of all documents with the benchmark; nulls, repeats and empty tables as in `overlaps`."""
     return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

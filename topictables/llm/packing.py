@@ -318,4 +318,5 @@ def _packed(source: DataFrame, read, limits: tuple[int, int, int], cut: bool) ->
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents; null and empty texts, null ids and repeats as in `pack_texts`."""
     return pack_texts(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
