@@ -86,3 +86,44 @@ def test_permutations_are_ordered():
     for v, order in zip(points, lists, strict=False):
         similar = points[order] @ v
         assert (np.diff(similar) <= 0).all() and similar[-1] >= np.sort(points @ v)[-pivots.NEAREST] - 1e-12
+
+
+def test_extreme_numbers(spark):
+    """Lengths that under- or overflow when they are squared."""
+    small, large = [1e-200, 2e-200], [1e200, 2e200]
+    rows = [(0, small, 1), (1, [2 * x for x in small], 1), (2, large, 1), (3, [3 * x for x in large], 1), (4, [1.0, 0.0], 1), (5, [5e-324, 0.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["id"]: (r["n_links"], r["component_id"]) for r in pivots.near_duplicates(df).collect()}
+    assert got == {0: (3, 0), 1: (3, 0), 2: (3, 0), 3: (3, 0), 4: (1, 4), 5: (1, 4)}
+
+
+def test_pivots_lie_apart():
+    points = pivots.unit(np.random.default_rng(3).normal(size=(300, 4)))
+    kept = pivots._apart(points, block=40)
+    one_by_one = []
+    for p in points:
+        if not one_by_one or (np.array(one_by_one) @ p).max() <= pivots.APART:
+            one_by_one.append(p)
+    assert (kept == np.array(one_by_one)).all()
+
+
+def test_work_grows_with_the_vectors(monkeypatch):
+    """Comparisons of vectors that are spread alike, per vector: four times the vectors, about the same."""
+    monkeypatch.setattr(pivots, "BLOCK", 64)
+    rng = np.random.default_rng(9)
+    per_vector = []
+    for n in (4000, 16_000):
+        points = pivots.unit(rng.normal(size=(n, 8)))
+        reference = pivots._apart(points[: n // pivots.VECTORS_A_PIVOT])
+        lists = pivots.permutations(points, reference)
+        sizes = defaultdict(int)
+        for row in lists.tolist():
+            for p in row:
+                sizes[p] += 1
+        parts = defaultdict(int)
+        for row in lists.tolist():
+            for p in row:
+                for q in [x for x in row if x > p] if sizes[p] > pivots.BLOCK else [-1]:
+                    parts[p, q] += 1
+        per_vector.append(sum(m * m for m in parts.values()) / n)
+    assert per_vector[1] < 1.4 * per_vector[0]

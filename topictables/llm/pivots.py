@@ -10,16 +10,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topictables.llm.common import connected_components, each_batch, shared_folder, table
+from topictables.llm.common import connected_components, each_batch, shared_folder, stored, table, with_smallest
 
 #: Reference points: one for so many different vectors, within these bounds, from a sample of the same size.
-VECTORS_A_PIVOT, LEAST_PIVOTS, MOST_PIVOTS = 32, 16, 2048
+VECTORS_A_PIVOT, LEAST_PIVOTS, MOST_PIVOTS = 32, 16, 16_384
 #: Nearest pivots that describe a vector, and how many of them two vectors must share to be compared.
 NEAREST, SHARED = 8, 2
 #: No two pivots have a larger cosine.
 APART = 0.8
-#: Vectors of a list that one task compares with each other; longer lists are split into blocks.
+#: Vectors of a list that one task compares with each other. A longer list is split by a second pivot,
+#: and what is still longer into blocks.
 BLOCK = 2048
+#: Vectors that are held against all pivots at a time, and pairs whose pivots are compared at a time.
+VECTORS, PAIRS = 256, 200_000
 
 
 def _packed(df: DataFrame, id_column: str, vector_column: str, label_column: str) -> DataFrame:
@@ -50,38 +53,53 @@ def _pivots(distinct: DataFrame, n: int) -> dict[int, np.ndarray]:
     for r in distinct.select("vector", F.xxhash64("vector").alias("h")).orderBy("h", "vector").limit(count).collect():
         v = np.frombuffer(bytes(r["vector"]))
         found.setdefault(len(v), []).append(v)
-    apart = {}
-    for d, vs in found.items():
-        points = unit(np.array(vs))
-        near = points @ points.T > APART
-        kept: list[int] = []
-        for i in range(len(points)):
-            if not near[i, kept].any():
-                kept.append(i)
-        apart[d] = points[kept]
-    return apart
+    return {d: _apart(unit(np.array(vs))) for d, vs in found.items()}
+
+
+def _apart(points: np.ndarray, block: int = 1024) -> np.ndarray:
+    """One after another, the points that lie apart from all that were kept before."""
+    kept = points[:0]
+    for at in range(0, len(points), block):
+        part = points[at : at + block]
+        part = part[~(part @ kept.T > APART).any(1)]
+        near = part @ part.T > APART
+        some: list[int] = []
+        for i in range(len(part)):
+            if not near[i, some].any():
+                some.append(i)
+        kept = np.concatenate([kept, part[some]])
+    return kept
 
 
 def permutations(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     """The numbers of the NEAREST pivots of each vector, nearest first."""
     near = min(NEAREST, len(pivots))
-    similar = unit(vectors) @ pivots.T
-    some = np.argpartition(-similar, near - 1, axis=1)[:, :near]
-    return np.take_along_axis(some, np.argsort(-np.take_along_axis(similar, some, 1), axis=1, kind="stable"), 1)
-
-
-def linked(a: np.ndarray, b: np.ndarray, lists_a: np.ndarray, lists_b: np.ndarray, pivot: int, least: float) -> np.ndarray:
-    """Which pairs link and are counted in this pivot's list: those that share SHARED pivots or more, of
-    which this is the first, and whose cosine is high enough."""
-    shared = np.zeros((len(a), len(b)), np.int16)
-    earlier = np.zeros((len(a), len(b)), bool)
-    for k in range(lists_a.shape[1]):
-        for m in range(lists_b.shape[1]):
-            same = lists_a[:, k, None] == lists_b[None, :, m]
-            shared += same
-            earlier |= same & (lists_a[:, k, None] < pivot)
-    norms = np.linalg.norm(a, axis=1)[:, None] * np.linalg.norm(b, axis=1)[None, :]
-    return (shared >= min(SHARED, lists_a.shape[1])) & ~earlier & (a @ b.T / norms >= least)
+    found = np.zeros((len(vectors), near), np.int64)
+    for at in range(0, len(vectors), VECTORS):
+        similar = unit(vectors[at : at + VECTORS]) @ pivots.T
+        some = np.argpartition(-similar, near - 1, axis=1)[:, :near]
+        order = np.argsort(-np.take_along_axis(similar, some, 1), axis=1, kind="stable")
+        found[at : at + VECTORS] = np.take_along_axis(some, order, 1)
+    return found
+
+
+def linked(a: np.ndarray, b: np.ndarray, lists_a: np.ndarray, lists_b: np.ndarray, pivot: int, second: int, least: float) -> np.ndarray:
+    """Which pairs of vectors link and are counted in this list: those that share SHARED pivots or
+    more, of which this is the first (and the second, if the list has one), and whose cosine is high
+    enough. Pivots are counted for pairs of high cosine only, which one product has found."""
+    adjacent = unit(a) @ unit(b).T >= least
+    one, two = np.nonzero(adjacent)
+    none = np.iinfo(np.int64).max
+    for at in range(0, len(one), PAIRS):
+        i, j = one[at : at + PAIRS], two[at : at + PAIRS]
+        mine = lists_a[i]
+        same = (mine[:, :, None] == lists_b[j][:, None, :]).any(2)
+        first = np.sort(np.where(same, mine, none), axis=1)[:, :2]
+        here = (same.sum(1) >= min(SHARED, lists_a.shape[1])) & (first[:, 0] == pivot)
+        if second >= 0:
+            here &= first[:, 1] == second
+        adjacent[i, j] = here
+    return adjacent
 
 
 def _roots(adjacent: np.ndarray) -> np.ndarray:
@@ -106,8 +124,10 @@ def near_duplicates(df: DataFrame, id_column: str = "vec_id", vector_column: str
 
     Equal vectors are merged first. A vector is described by its nearest pivots in order; each of them
     has an inverted list per label. A pair is found in the list of its first shared pivot if it shares
-    enough of them, and is then verified. Pairs stay in the task, which returns counts and a star of
-    links for each vector; lists beyond BLOCK are compared block by block in tasks of their own.
+    enough of them, and is verified there. A list beyond BLOCK is split by second pivots, which leaves
+    in each part only vectors that share both; parts beyond BLOCK are compared block by block in tasks
+    of their own. Pivots grow with the vectors up to MOST_PIVOTS. Pairs stay in the task, which returns
+    counts and a star of links for each vector.
     """
     spark = df.sparkSession
     shared_folder(spark)
@@ -131,24 +151,29 @@ def near_duplicates(df: DataFrame, id_column: str = "vec_id", vector_column: str
         sizes = pa.array([len(v) for v in vectors], pa.int32())
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), batch.column(3), sizes, pa.array(lists, pa.list_(pa.int32()))], ["node", "label", "vector", "copies", "size", "pivots"])
 
-    described = each_batch(distinct.select("node", "label", "vector", "copies"), describe, f"node string, label {kind}, vector binary, copies long, size int, pivots array<int>")
+    described = stored(each_batch(distinct.select("node", "label", "vector", "copies"), describe, f"node string, label {kind}, vector binary, copies long, size int, pivots array<int>"))
     listed = described.select("*", F.explode("pivots").alias("pivot"))
-    key = ["label", "size", "pivot"]
-    long = listed.groupBy(*key).count().where(F.col("count") > 1).select(*key, F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
-    counted = listed.join(long, key)
+    key = ["label", "size", "pivot", "second"]
+    sizes = listed.groupBy("label", "size", "pivot").count().where(F.col("count") > 1)
+    counted = listed.join(sizes, ["label", "size", "pivot"])
+    # Pairs of a long list meet in the list of their first two shared pivots, which only their kind are in.
+    crowded = (F.col("count") > BLOCK) & (F.size("pivots") >= SHARED)
+    seconds = F.when(crowded, F.filter("pivots", lambda p: p > F.col("pivot"))).otherwise(F.array(F.lit(-1)))
+    split = counted.withColumn("second", F.explode(seconds)).drop("count")
+    long = split.groupBy(*key).count().where(F.col("count") > 1).select(*key, F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j")))
-    spread = counted.withColumn("block", block).select(*key, "node", "vector", "copies", "pivots", "block", F.inline(pairs))
+    spread = split.join(long, key).withColumn("block", block).select(*key, "node", "vector", "copies", "pivots", "block", F.inline(pairs))
 
     def compare(names: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        _, _, pivot, i, j = names
+        _, _, pivot, second, i, j = names
         group = group.sort_values("node", ignore_index=True)
         one = np.flatnonzero(group["block"] == i) if i != j else np.arange(len(group))
         two = np.flatnonzero(group["block"] == j) if i != j else one
         vectors = np.array([np.frombuffer(v) for v in group["vector"]])
-        lists = np.array([np.array(p) for p in group["pivots"]])
+        lists = np.array([np.array(p, np.int64) for p in group["pivots"]])
         copies = group["copies"].to_numpy()
-        adjacent = linked(vectors[one], vectors[two], lists[one], lists[two], pivot, cosine)
+        adjacent = linked(vectors[one], vectors[two], lists[one], lists[two], pivot, second, cosine)
         links = np.zeros(len(group), np.int64)
         if i == j:
             np.fill_diagonal(adjacent, False)
@@ -167,9 +192,9 @@ def near_duplicates(df: DataFrame, id_column: str = "vec_id", vector_column: str
     found = spread.groupBy(*key, "i", "j").applyInPandas(compare, "node string, root string, links long").checkpoint()
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     roots = connected_components(found, "node", "root")
-    named = distinct.join(links, "node", "left").join(roots, "node", "left").select("label", "vector", "least", "copies", "links", F.coalesce("root", "node").alias("root"))
-    smallest = named.groupBy("root").agg(F.min("least").alias("component"))
-    known = named.join(smallest, "root").select("label", "vector", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component")
+    named = distinct.join(links, "node", "left").join(roots, "node", "left").select("node", "label", "vector", "least", "copies", "links", F.coalesce("root", "node").alias("root"))
+    named = with_smallest(named, "root", "node", "least", "component")
+    known = named.select("label", "vector", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component")
     # Seven bytes are no vector: a null would send all rows that link with nothing to one task.
     spread_out = F.coalesce("vector", F.substring(F.md5(F.coalesce(F.col("id").cast("string"), F.lit(""))), 1, 7).cast("binary"))
     rows = packed.withColumn("vector", spread_out).join(known, ["label", "vector"], "left")
@@ -178,4 +203,5 @@ def near_duplicates(df: DataFrame, id_column: str = "vec_id", vector_column: str
 
 
 def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links of every vector; nulls, repeats and empty tables as in `near_duplicates`."""
     return near_duplicates(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
