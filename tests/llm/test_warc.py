@@ -69,3 +69,21 @@ def test_broken_archives():
         list(warc.parse(io.BytesIO(b"<html>")))
     with pytest.raises(ValueError, match="ends before"):
         list(warc.parse(io.BytesIO(record("response", "<r>", block=b"x" * 9)[:-8])))
+
+
+def test_large_captures_lie_in_files_of_their_own(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_RECORDS", ((50, 60), (1000, 9), (None, 3)))
+    sizes = [10] * 100 + [500] * 20 + [5000] * 4
+    rows = [(i, f"http://x/{i}", chr(97 + i % 26) * n + str(i)) for i, n in enumerate(sizes)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    path = str(tmp_path / "w")
+    warc.write(df, path)
+    counts = {}
+    for file in (tmp_path / "w").rglob("*.gz"):
+        records = list(warc.parse(io.BufferedReader(gzip.GzipFile(file))))
+        largest = max(len(block) for _, block in records)
+        counts.setdefault(file.parent.name, []).append(len(records))
+        assert len(records) <= {"0": 60, "1": 9, "2": 3}[file.parent.name]
+        assert file.parent.name == "2" or largest < 5000
+    assert {k: sum(v) for k, v in counts.items()} == {"0": 300, "1": 60, "2": 12}
+    assert warc.transactions(warc.read(spark, path)).count() == len(rows)

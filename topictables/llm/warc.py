@@ -15,8 +15,8 @@ from topictables.llm.common import shared_folder, table
 
 #: Payloads of fewer bytes are always kept whole.
 LEAST_BYTES = 100
-#: Records of one archive file at most.
-FILE_RECORDS = 6000
+#: Records of one archive file at most, by the largest payload in it: no file holds more than about 400 MB.
+FILE_RECORDS = ((1 << 16, 6000), (1 << 20, 384), (1 << 24, 24), (None, 3))
 CRLF = "\r\n"
 DATE = "2024-01-01T00:00:00Z"
 
@@ -42,7 +42,8 @@ def write(pages: DataFrame, path: str, id_column: str = "page_id", url_column: s
     A null id is no target of a revisit unless no row with that payload has one; rows that share the
     smallest id are all responses. Line ends inside urls become spaces. The records are text, ended by
     two line ends, which is what Spark's text writer writes: files appear through its commit, wherever
-    the path lies, and at most FILE_RECORDS records go to a file.
+    the path lies. Captures of similar size are written together, the fewer to a file the larger
+    they are (FILE_RECORDS); an empty table leaves an archive without records.
     """
     payload = F.coalesce(F.col(payload_column), F.lit(""))
     rows = pages.select(F.col(id_column).cast("string").alias("id"), F.col(id_column).alias("key"), F.regexp_replace(url_column, r"[\r\n]+", " ").alias("url"), payload.alias("payload"))
@@ -65,8 +66,17 @@ def write(pages: DataFrame, path: str, id_column: str = "page_id", url_column: s
     request = _record("request", name("request", F.col("key")), [("WARC-Concurrent-To", main), uri], "application/http; msgtype=request", request_line)
     fields = F.concat(F.lit("payload-length: "), F.col("bytes").cast("string"), F.lit(CRLF))
     metadata = _record("metadata", name("metadata", F.col("key")), [("WARC-Concurrent-To", main), uri], "application/warc-fields", fields)
-    records = decided.select(F.explode(F.array(request, F.when(F.col("revisit"), revisit).otherwise(response), metadata)).alias("value"))
-    records.write.option("lineSep", CRLF + CRLF).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    three = F.explode(F.array(request, F.when(F.col("revisit"), revisit).otherwise(response), metadata)).alias("value")
+    largest = rows.agg(F.max("bytes")).first()[0] or 0
+    above = -1
+    for number, (most, records) in enumerate(FILE_RECORDS):
+        some = decided.where(F.col("bytes") > above)
+        if most is not None and largest > most:
+            some = some.where(F.col("bytes") <= most)
+        some.select(three).write.option("lineSep", CRLF + CRLF).option("compression", "gzip").option("maxRecordsPerFile", records).text(f"{path}/{number}")
+        if most is None or largest <= most:
+            return
+        above = most
 
 
 def parse(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -156,6 +166,7 @@ def transactions(records: DataFrame) -> DataFrame:
 
 
 def op10_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the archives of all pages hold; null payloads, urls and ids as in `write`."""
     path = shared_folder(spark)
     write(table(spark, sf_dir, "pages"), path)
     found = transactions(read(spark, path, with_payload=False))
