@@ -67,3 +67,17 @@ def test_defined_cases(spark, model):
     nothing = languages.train(empty)
     assert languages.identify(empty, model).count() == 0
     assert [r["lang_pred"] for r in languages.identify(spark.createDataFrame([(1, "ka", None, "x", 0.0)], SCHEMA), nothing).collect()] == ["und"]
+
+
+def test_numbers_are_no_letters(spark):
+    assert languages.words("½ ² ① Ⅷ x² ab12cd É_é ª") == ["x", "ab", "cd", "é", "é", "ª"]
+    model = languages.Mixture(["aa"], np.zeros((1, languages.BUCKETS)), np.ones(1))
+    df = spark.createDataFrame([(1, "½ ² ①"), (2, "Ⅷ 12 !"), (3, "a")], "doc_id long, text string")
+    assert {r["id"]: (r["lang_pred"], r["score"]) for r in languages.identify(df, model).collect()} == {1: ("und", 0.0), 2: ("und", 0.0), 3: ("aa", 1.0)}
+
+
+def test_only_the_most_frequent_languages_are_learned(spark):
+    rows = [(i, f"some words {i}", f"l{i % 7}" if i < 70 else f"rare{i}") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert languages.train(df, most=7).languages == [f"l{i}" for i in range(7)]
+    assert len(languages.train(df, most=9).languages) == 9

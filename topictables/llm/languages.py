@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from topictables.llm.common import each_batch, remainder, table
 
-#: About so many labelled rows of each language are fitted on at most, by the hash of their id.
-SAMPLE = 2000
+#: About so many labelled rows of each language are fitted on at most, by the hash of their id; so many
+#: languages, those with the most rows, are learned at most.
+SAMPLE, LANGUAGES = 2000, 256
 #: Character n-grams of words with their ends marked, by length, hashed into so many buckets.
 GRAMS, BUCKETS = (1, 2, 3, 4), 1 << 16
 ADDED = 0.05
@@ -51,7 +52,11 @@ def grams(some: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
 
 
 def words(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    """Runs of letters, in lower case; numbers, whatever they look like, are no letters."""
+    found = WORD.findall((text or "").lower())
+    if all(map(str.isalpha, found)):
+        return found
+    return [part for w in found for part in "".join(c if c.isalpha() else " " for c in w).split()]
 
 
 @dataclass
@@ -140,11 +145,13 @@ class Mixture:
         return list(zip(best, of.tolist(), strict=True))
 
 
-def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", sample: int = SAMPLE) -> Mixture:
+def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", sample: int = SAMPLE, most: int = LANGUAGES) -> Mixture:
     """Fit on a bounded sample: of each language about `sample` rows at most, chosen by the hash of the
-    id. Null languages, texts and ids are left out. The counts come to the driver by language and bucket."""
+    id, and of languages the `most` with the most rows, of equal ones the first in order; a column that
+    holds more values than there are languages teaches no more than these. Null languages, texts and
+    ids are left out. The counts come to the driver by language and bucket, both bounded."""
     known = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(lang_column).alias("lang")).where("id is not null and text is not null and lang is not null")
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most).collect()}
     if not sizes:
         return Mixture([], np.zeros((0, BUCKETS)), np.zeros(0))
     wanted = F.create_map(*(x for lang, n in sorted(sizes.items()) for x in (F.lit(lang), F.lit(int(min(1.0, sample / n) * 0x1000000)))))
@@ -196,6 +203,7 @@ def identify(docs: DataFrame, model: Mixture, id_column: str = "doc_id", text_co
 
 
 def op9_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document; null texts and a null id, which is not held out, as in `identify`."""
     docs = table(spark, sf_dir, "documents")
     model = train(docs.where(remainder(F.col("doc_id"), 5) != 0))
     held_out = F.coalesce(remainder(F.col("id"), 5) == 0, F.lit(False))
